@@ -118,5 +118,9 @@ def region_group(country: Column) -> Column:
 
 
 def pue_bin(pue: Column, low: int = 1, high: int = 3, bins: int = 20) -> Column:
-    """Equal-width histogram bin 1..bins; the last bin includes its upper edge."""
-    return F.least(F.width_bucket(pue.cast("double"), F.lit(float(low)), F.lit(float(high)), F.lit(bins)), F.lit(bins))
+    """Equal-width histogram bin 1..bins; the last bin includes its upper edge.
+
+    Whole thousandths, since a bin edge such as 1.3 is not exact in binary.
+    """
+    offset = ((pue - dec(low)) * dec(1000)).cast("bigint") * F.lit(bins)
+    return F.least(F.floor(offset / F.lit((high - low) * 1000)) + 1, F.lit(bins)).cast("int")

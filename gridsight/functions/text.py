@@ -44,8 +44,8 @@ def clean_text(col: Column) -> Column:
 
 def fixed_point(col: Column, digits: int, suffix: str = "", missing: str = "N/A") -> Column:
     """Decimal column as text with ``digits`` decimals."""
-    text = F.format_string(f"%.{digits}f{suffix.replace('%', '%%')}", F.round(col, digits))
-    return F.when(col.isNull(), F.lit(missing)).otherwise(text)
+    text = F.round(col, digits).cast(f"decimal(38,{digits})").cast("string")
+    return F.coalesce(F.concat(text, F.lit(suffix)), F.lit(missing))
 
 
 def contains_blank_free(haystack: Column, needle: Column) -> Column:

@@ -143,6 +143,7 @@ def parse_pages(
     ``selector`` is a tag name, ``.class`` or ``#id``; ``carry`` adds native columns.
     """
     carry = carry or {}
+    kept = [key, *carry]
     words = [k.lower() for k in (keywords or V.SECTION_KEYWORDS)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -150,7 +151,7 @@ def parse_pages(
             parsed = [_Page(h or "", selector) for h in batch["html"]]
             yield pd.DataFrame(
                 {
-                    **{c: batch[c] for c in [key, *carry]},
+                    **{c: batch[c] for c in kept},
                     "full_text": [" ".join(p.text) for p in parsed],
                     "selected_text": [" ".join("".join(n["text"]) for n in p.selected) for p in parsed],
                     "sections": [p.sections(words) for p in parsed],
@@ -159,8 +160,8 @@ def parse_pages(
             )
 
     given = pages.select(key, "html", *[c.alias(n) for n, c in carry.items()])
-    kept = ", ".join(f"{c} {given.schema[c].dataType.simpleString()}" for c in [key, *carry])
-    return given.mapInPandas(run, f"{kept}, {PAGE_SCHEMA}")
+    types = ", ".join(f"{c} {given.schema[c].dataType.simpleString()}" for c in kept)
+    return given.mapInPandas(run, f"{types}, {PAGE_SCHEMA}")
 
 
 def page_text(pages: DataFrame, key: str = "page_id") -> DataFrame:

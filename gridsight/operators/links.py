@@ -19,7 +19,7 @@ def links(html: Column, pattern: str | None = None) -> Column:
     """Targets of all ``a[href]`` in page order, optionally those a pattern finds."""
     tags = F.regexp_extract_all(F.regexp_replace(html, _HIDDEN, ""), F.lit(_HREF), F.lit(0))
     targets = F.transform(
-        tags, lambda t: _plain(F.concat(*[F.regexp_extract(t, F.lit(_HREF), g) for g in (1, 2, 3)]))
+        tags, lambda t: _plain(F.concat(*[F.regexp_extract(t, _HREF, g) for g in (1, 2, 3)]))
     )
     if pattern is None:
         return targets

@@ -70,7 +70,7 @@ def pue_type_of(context: Column) -> Column:
 
 def _mentions_of(text: Column, pattern: str) -> Column:
     """All mentions of one pattern; ``split`` gives the text between the hits."""
-    p = F.lit(FLAGS + pattern)
+    p = FLAGS + pattern
     groups = pattern.count(r"(\d")
     year_first = groups == 2 and pattern.index(r"(\d{4})") < pattern.index(r"(\d+\.\d+)")
     value_group, year_group = (2, 1) if year_first else (1, 2)
@@ -89,8 +89,8 @@ def _mentions_of(text: Column, pattern: str) -> Column:
         )
 
     parts = F.struct(
-        F.regexp_extract_all(text, p, F.lit(0)).alias("h"),
-        F.split(text, FLAGS + pattern, -1).alias("g"),
+        F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias("h"),
+        F.split(text, p, -1).alias("g"),
     )
     return let(parts, lambda x: F.transform(x["h"], lambda hit, i: mention(x, hit, i)))
 
@@ -143,9 +143,9 @@ def location_phrases(text: Column) -> Column:
         F.regexp_extract_all(text, F.lit(FLAGS + place), F.lit(1)),
         lambda s: F.struct(s.alias("first"), F.lit(None).cast("string").alias("second")),
     )
-    p = F.lit(FLAGS + pair)
+    p = FLAGS + pair
     pairs = F.transform(
-        F.regexp_extract_all(text, p, F.lit(0)),
+        F.regexp_extract_all(text, F.lit(p), F.lit(0)),
         lambda s: F.struct(F.regexp_extract(s, p, 1).alias("first"), F.regexp_extract(s, p, 2).alias("second")),
     )
     return F.concat(singles, pairs)

@@ -1,16 +1,18 @@
 """Row numbers over very large groups without pulling a group into one task."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 ROWS_PER_SLICE = 1_000_000
 
 
-def _same(left: DataFrame, right: DataFrame, keys: list[str]):
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
+def _attach(rows: DataFrame, small: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on keys that may be NULL; the keys of the small side are dropped."""
+    other = small.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return rows.join(other, same, how).drop(*[f"_key_{k}" for k in keys])
 
 
 def row_number_by_value(
@@ -44,12 +46,11 @@ def row_number_by_value(
     )
     if not within:
         # at most one row per distinct value of a short decimal
-        per_value = F.broadcast(per_value)
+        per_value = per_value.hint("broadcast")
 
     rows = df.withColumn("_hash", F.md5(F.col(tie)))
     rows = (
-        rows.join(per_value, _same(rows, per_value, value_keys), "inner")
-        .drop(*[per_value[k] for k in value_keys])
+        _attach(rows, per_value, value_keys, "inner")
         .withColumn("_slice", F.expr("left(_hash, _digits)"))
         .drop("_digits")
     )
@@ -63,8 +64,7 @@ def row_number_by_value(
     )
     in_slice = W.partitionBy(*slice_keys).orderBy("_hash", tie)
     return (
-        rows.join(per_slice, _same(rows, per_slice, slice_keys), "left")
-        .drop(*[per_slice[k] for k in slice_keys])
+        _attach(rows, per_slice, slice_keys, "left")
         .withColumn(
             name,
             F.col("_before") + F.coalesce("_skip", F.lit(0)) + F.row_number().over(in_slice),
