@@ -5,10 +5,12 @@ The given tables have no facility figures, so these are computed from their keys
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gridsight.catalog.base import scratch
 from gridsight.operators.location import enrich_location
 from gridsight.operators.star import company_candidates, fact_rows, location_candidates
 from gridsight.plans.cleaning_run import clean
 from gridsight.plans.marts import staging
+from gridsight.sources.writers import materialize
 
 AS_OF = "2025-06-30"
 AS_OF_YEAR = 2025
@@ -80,12 +82,25 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(raw_pue(spark, sf_dir), registry(spark, sf_dir), AS_OF_YEAR)
 
 
+_STARS: dict[tuple[str, str], str] = {}
+
+
 def star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Fact, company and location tables loaded from the enriched records."""
-    rows = enriched(spark, sf_dir)
-    companies, locations = company_candidates(rows), location_candidates(rows)
-    facts, _ = fact_rows(rows, companies, locations)
-    return facts, companies, locations
+    """Fact, company and location tables loaded from the enriched records.
+
+    The load is written once per session, as a warehouse load is, and read back: the plans
+    over it then know the real table sizes and prune columns.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STARS:
+        root, rows = scratch(spark, "star"), enriched(spark, sf_dir)
+        companies = materialize(company_candidates(rows), "dim_company", root)
+        locations = materialize(location_candidates(rows), "dim_location", root)
+        facts, _ = fact_rows(rows, companies, locations)
+        materialize(facts, "fact_efficiency", root)
+        _STARS[key] = root
+    tables = ("fact_efficiency", "dim_company", "dim_location")
+    return tuple(spark.read.parquet(f"{_STARS[key]}/{t}") for t in tables)
 
 
 def report_text(spark: SparkSession, sf_dir: str) -> DataFrame:

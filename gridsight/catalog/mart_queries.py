@@ -32,6 +32,12 @@ def _(spark, sf):
     return row_number_by_value(rows, "pue_rank", "pue_value", "pue_id", rows_per_slice=4).select("pue_id", "pue_rank")
 
 
+@query("mrt02_leaderboard_sliced", with_ctes(f"SELECT {_RANK} AS pue_rank, {_TIER_RANK} AS tier_rank, company_name, pue_value::DOUBLE AS pue_value FROM stg", "stg"))
+def _(spark, sf):
+    """Both ranks when the most frequent values are cut."""
+    return marts.leaderboard(X.staged(spark, sf), rows_per_slice=10).select("pue_rank", "tier_rank", "company_name", "pue_value")
+
+
 @query("win02_rank_in_tier", with_ctes(f"SELECT pue_id, tier, {_TIER_RANK} AS tier_rank FROM stg", "stg"))
 def _(spark, sf):
     rows = X.staged(spark, sf).select("pue_id", "tier", "pue_value")

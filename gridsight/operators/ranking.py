@@ -6,68 +6,83 @@ from operator import and_
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 ROWS_PER_SLICE = 1_000_000
+BROADCAST_ROWS = 100_000
 
 
-def _attach(rows: DataFrame, small: DataFrame, keys: list[str], how: str) -> DataFrame:
+def _attach(rows: DataFrame, small: DataFrame, keys: list[str], how: str, broadcast: bool) -> DataFrame:
     """Join on keys that may be NULL; the keys of the small side are dropped."""
     other = small.withColumnsRenamed({k: f"_key_{k}" for k in keys})
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    return rows.join(other, same, how).drop(*[f"_key_{k}" for k in keys])
+    joined = rows.join(other.hint("broadcast") if broadcast else other, same, how)
+    return joined.drop(*[f"_key_{k}" for k in keys])
 
 
-def row_number_by_value(
+def _rows_before(counts: DataFrame, keys: list[str], within: list[str], last, name: str) -> DataFrame:
+    """Per key: how many rows of the same group come earlier in the order of ``last``."""
+    per_key = counts.groupBy(*keys).agg(F.sum("_n").alias("_n"))
+    earlier = W.partitionBy(*within).orderBy(last).rowsBetween(W.unboundedPreceding, -1)
+    return per_key.select(*keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(name))
+
+
+def row_numbers_by_value(
     df: DataFrame,
-    name: str,
     by: str,
     tie: str,
-    within: list[str] | None = None,
+    ranks: dict[str, list[str]],
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """``row_number() over (partition by within order by by nulls last, md5(tie), tie)``.
+    """Adds one column per rank: ``row_number() over (partition by <group> order by <by> nulls
+    last, md5(tie), tie)``, where ``ranks`` maps the column to its group columns.
 
     ``by`` takes few distinct values (a PUE is decimal(5,3) in [1,3]: 2,001 at most) while any
-    value, and any group of ``within``, may hold a large share of all rows.  So rows are
-    counted per value, and a value with more than ``rows_per_slice`` rows is cut into slices by
-    the leading hex digits of ``md5(tie)``.  A row's number is the rows of smaller values, plus
-    the rows of earlier slices, plus its place in its own slice; only slices are ever sorted.
-    """
-    within = within or []
-    value_keys, slice_keys = within + [by], within + [by, "_slice"]
-    value_order = [F.col(by).asc_nulls_last()]
+    value, and any group, may hold a large share of all rows.  A row's number is the count of
+    rows with smaller values plus its place among the rows of its own value, so only the latter
+    are sorted, all ranks after one shuffle.  A value with more than ``rows_per_slice`` rows is
+    cut into slices by the leading hex digits of ``md5(tie)``, and the rows of earlier slices
+    are counted as well.
 
-    before_value = W.partitionBy(*within).orderBy(*value_order).rowsBetween(W.unboundedPreceding, -1)
-    per_value = df.groupBy(*value_keys).agg(F.count(F.lit(1)).alias("_n")).select(
-        *value_keys,
-        F.coalesce(F.sum("_n").over(before_value), F.lit(0)).alias("_before"),
-        # hex digits needed so that an average slice has at most rows_per_slice rows
-        F.greatest(
-            F.lit(0), F.ceil(F.log(16.0, F.col("_n") / F.lit(rows_per_slice)))
-        ).cast("int").alias("_digits"),
-    )
-    if not within:
-        # at most one row per distinct value of a short decimal
-        per_value = per_value.hint("broadcast")
+    Counting the values is a first small job.  It tells whether the tables of counts are small
+    enough to broadcast (else they are joined by a shuffle) and whether any value must be cut.
+    """
+    groups = list(dict.fromkeys(c for within in ranks.values() for c in within))
+    counts = df.groupBy(by, *groups).agg(F.count(F.lit(1)).alias("_n"))
+    per_value = counts.groupBy(by).agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_k"))
+    seen = per_value.agg(F.max("_n").alias("hottest"), F.sum("_n").alias("rows"), F.sum("_k").alias("keys")).first()
+    small = (seen["keys"] or 0) <= BROADCAST_ROWS
+    cut = (seen["hottest"] or 0) > rows_per_slice
+    last = F.col(by).asc_nulls_last()
 
     rows = df.withColumn("_hash", F.md5(F.col(tie)))
-    rows = (
-        _attach(rows, per_value, value_keys, "inner")
-        .withColumn("_slice", F.expr("left(_hash, _digits)"))
-        .drop("_digits")
-    )
-    before_slice = W.partitionBy(*value_keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    per_slice = (
-        # values that were not cut have one slice only and nothing to skip
-        rows.filter("_slice <> ''")
-        .groupBy(*slice_keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*slice_keys, F.sum("_n").over(before_slice).alias("_skip"))
-    )
-    in_slice = W.partitionBy(*slice_keys).orderBy("_hash", tie)
-    return (
-        _attach(rows, per_slice, slice_keys, "left")
-        .withColumn(
-            name,
-            F.col("_before") + F.coalesce("_skip", F.lit(0)) + F.row_number().over(in_slice),
-        )
-        .drop("_before", "_skip", "_hash", "_slice")
-    )
+    for name, within in ranks.items():
+        before = _rows_before(counts, [*within, by], within, last, f"_before_{name}")
+        rows = _attach(rows, before, [*within, by], "inner", small)
+    slice_key = [by]
+    if cut:
+        # hex digits for which an average slice has at most rows_per_slice rows
+        digits = F.greatest(F.lit(0), F.ceil(F.log(16.0, F.col("_n") / F.lit(rows_per_slice)))).cast("int")
+        rows = _attach(rows, per_value.select(by, digits.alias("_digits")), [by], "inner", small)
+        rows = rows.withColumn("_slice", F.expr("left(_hash, _digits)")).drop("_digits")
+        slice_key = [by, "_slice"]
+        in_slices = rows.filter("_slice <> ''").groupBy(*slice_key, *groups).agg(F.count(F.lit(1)).alias("_n"))
+        few = 16 * seen["rows"] // rows_per_slice * max(1, seen["keys"]) <= BROADCAST_ROWS
+        for name, within in ranks.items():
+            keys = [*within, *slice_key]
+            skip = _rows_before(in_slices, keys, [*within, by], F.col("_slice"), f"_skip_{name}")
+            rows = _attach(rows, skip, keys, "left", few)
+    for name, within in ranks.items():
+        place = F.row_number().over(W.partitionBy(*slice_key, *within).orderBy("_hash", tie))
+        skipped = F.coalesce(F.col(f"_skip_{name}"), F.lit(0)) if cut else F.lit(0)
+        rows = rows.withColumn(name, F.col(f"_before_{name}") + skipped + place)
+    return rows.drop("_hash", "_slice", *[f"_{p}_{n}" for n in ranks for p in ("before", "skip")])
+
+
+def row_number_by_value(
+    df: DataFrame,
+    name: str,
+    by: str,
+    tie: str,
+    within: list[str] | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """One rank; see ``row_numbers_by_value``."""
+    return row_numbers_by_value(df, by, tie, {name: within or []}, rows_per_slice)

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gridsight.functions import metrics as X
 from gridsight.functions.numbers import dec, mean_half_up
-from gridsight.operators.ranking import row_number_by_value
+from gridsight.operators.ranking import row_numbers_by_value
 
 
 def staging(raw: DataFrame) -> DataFrame:
@@ -24,10 +24,8 @@ def leaderboard(stg: DataFrame, rows_per_slice: int | None = None) -> DataFrame:
         "pue_type", "cooling_overhead_pct", "capacity_mw", "renewable_pct", "wue_l_per_kwh", "annual_waste_mwh",
     ]
     size = {} if rows_per_slice is None else {"rows_per_slice": rows_per_slice}
-    # only ids, tiers and values travel through the two rankings
-    ids = stg.select(*columns)
-    ranked = row_number_by_value(ids, "tier_rank", "pue_value", "pue_id", ["tier"], **size)
-    ranked = row_number_by_value(ranked, "pue_rank", "pue_value", "pue_id", **size)
+    ranks = {"pue_rank": [], "tier_rank": ["tier"]}
+    ranked = row_numbers_by_value(stg.select(*columns), "pue_value", "pue_id", ranks, **size)
     return ranked.select(
         "pue_rank", "tier_rank", "company_name", "tier", "facility_name", "city", "country", "metric_year",
         "pue_value", "pue_type",
