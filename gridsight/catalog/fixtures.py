@@ -10,6 +10,7 @@ from gridsight.operators.location import enrich_location
 from gridsight.operators.star import company_candidates, fact_rows, location_candidates
 from gridsight.plans.cleaning_run import clean
 from gridsight.plans.marts import staging
+from gridsight.sources.spread import spread_if_few
 from gridsight.sources.writers import materialize
 
 AS_OF = "2025-06-30"
@@ -17,12 +18,16 @@ AS_OF_YEAR = 2025
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread_if_few(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_pue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One metric record per order line."""
-    lines, suppliers = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
+    lines, suppliers = table(spark, sf_dir, "lineitem"), dimension(spark, sf_dir, "supplier")
     return lines.join(suppliers, lines["l_suppkey"] == suppliers["s_suppkey"]).selectExpr(
         "concat_ws('-', cast(l_orderkey as string), cast(l_linenumber as string), cast(l_partkey as string), cast(l_suppkey as string)) as id",
         "s_name as company",
@@ -53,7 +58,7 @@ def raw_pue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Companies of the records with tier, region, two pages and two facilities."""
-    return table(spark, sf_dir, "supplier").selectExpr(
+    return dimension(spark, sf_dir, "supplier").selectExpr(
         "s_name as name",
         """case s_suppkey % 3 when 0 then 'Tier 1 - Global Hyperscaler' when 1 then 'Tier 2 - Indian Operator'
            else 'Tier 3 - Global Colocation' end as tier""",
@@ -153,7 +158,7 @@ def pages_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web search hits per company, three queries each."""
-    lines, suppliers = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
+    lines, suppliers = table(spark, sf_dir, "lineitem"), dimension(spark, sf_dir, "supplier")
     return lines.join(suppliers, lines["l_suppkey"] == suppliers["s_suppkey"]).selectExpr(
         "s_name as company",
         "cast(l_linenumber % 3 as int) as query_no",
@@ -166,7 +171,7 @@ def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with the stage (own pages, search, known facility) and search hit they came from."""
-    lines, suppliers = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
+    lines, suppliers = table(spark, sf_dir, "lineitem"), dimension(spark, sf_dir, "supplier")
     return lines.join(suppliers, lines["l_suppkey"] == suppliers["s_suppkey"]).selectExpr(
         "concat_ws('-', cast(l_orderkey as string), cast(l_linenumber as string), cast(l_partkey as string), cast(l_suppkey as string)) as id",
         "s_name as company",

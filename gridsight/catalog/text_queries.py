@@ -19,8 +19,9 @@ def _unnested(column: str, value: str) -> str:
 
 
 def _exploded(spark, sf, extract, value):
-    docs = X.report_text(spark, sf)
-    return docs.select("doc_id", F.posexplode(extract(F.col("text"))).alias("hit_no", value))
+    """Outer explode and filter, so that the patterns run once."""
+    found = X.report_text(spark, sf).select("doc_id", F.posexplode_outer(extract(F.col("text"))).alias("hit_no", value))
+    return found.filter(F.col("hit_no").isNotNull())
 
 
 @query("txt01_pue_mentions", with_ctes(

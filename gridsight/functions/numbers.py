@@ -16,8 +16,7 @@ def safe_number(col: Column, type_name: str) -> Column:
     Whole-number targets cut the fraction off, towards zero.
     """
     if type_name in ("int", "bigint"):
-        wide = col.try_cast("decimal(38,10)")
-        return F.when(wide >= 0, F.floor(wide)).otherwise(F.ceil(wide)).try_cast(type_name)
+        return col.try_cast("decimal(38,10)").try_cast(type_name)
     return col.try_cast(type_name)
 
 

@@ -1,52 +1,58 @@
 """Data-quality checks: row validation, constraint gate and declarative tests."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridsight import fixed_values as V
-from gridsight.functions.numbers import dec, safe_number
+from gridsight.functions.numbers import dec
+
+
+def _number(col: Column) -> Column:
+    return col.try_cast("decimal(20,4)")
 
 
 def valid_pue(col: Column) -> Column:
-    return F.coalesce(col.try_cast("decimal(20,6)").between(dec(V.PUE_MIN), dec(V.PUE_MAX)), F.lit(False))
+    return F.coalesce(_number(col).between(dec(V.PUE_MIN), dec(V.PUE_MAX)), F.lit(False))
 
 
 def _optional(col: Column, ok: Column) -> Column:
+    """A missing value passes, one that is no number does not."""
     return col.isNull() | F.coalesce(ok, F.lit(False))
 
 
+# Whole-number checks look at the value without its fraction: 100.9 counts as 100, so the
+# upper bound is "below 101".
+
+
 def valid_renewable(col: Column) -> Column:
-    return _optional(col, safe_number(col, "int").between(V.RENEWABLE_MIN, V.RENEWABLE_MAX))
+    return _optional(col, (_number(col) > V.RENEWABLE_MIN - 1) & (_number(col) < V.RENEWABLE_MAX + 1))
 
 
 def valid_wue(col: Column) -> Column:
-    return _optional(col, col.try_cast("decimal(20,6)").between(V.WUE_MIN, V.WUE_MAX))
+    return _optional(col, _number(col).between(V.WUE_MIN, V.WUE_MAX))
 
 
 def valid_capacity(col: Column) -> Column:
-    n = col.try_cast("decimal(20,6)")
-    return _optional(col, (n > V.CAPACITY_ABOVE) & (n <= V.CAPACITY_MAX))
+    return _optional(col, (_number(col) > V.CAPACITY_ABOVE) & (_number(col) <= V.CAPACITY_MAX))
 
 
 def valid_racks(col: Column) -> Column:
-    n = safe_number(col, "int")
-    return _optional(col, (n > V.RACKS_ABOVE) & (n <= V.RACKS_MAX))
+    return _optional(col, (_number(col) >= V.RACKS_ABOVE + 1) & (_number(col) < V.RACKS_MAX + 1))
 
 
 def valid_year(col: Column, as_of_year: int) -> Column:
-    return _optional(col, safe_number(col, "int").between(V.YEAR_MIN, as_of_year + 1))
+    return _optional(col, (_number(col) >= V.YEAR_MIN) & (_number(col) < as_of_year + 2))
 
 
-def row_errors(as_of_year: int, columns: list[str]) -> Column:
-    """Array of messages, empty for a valid row; checks on absent columns are left out."""
-    found: list[Column] = []
-
-    def add(bad: Column, message: Column) -> None:
-        found.append(F.when(bad, message))
-
+def _checks(as_of_year: int, columns: list[str]) -> list[tuple[str, Column, Column]]:
+    """(column, does it pass, message when it does not) of every check, in report order."""
+    found = []
     for name in ("company", "pue_value"):
-        bad = F.col(name).isNull() if name in columns else F.lit(True)
-        add(bad, F.lit(f"Missing required field: {name}"))
-    checks = [
+        present = F.col(name).isNotNull() if name in columns else F.lit(False)
+        found.append((name, present, F.lit(f"Missing required field: {name}")))
+    ranges = [
         ("pue_value", valid_pue, "Invalid PUE value: "),
         ("renewable_pct", valid_renewable, "Invalid renewable %: "),
         ("wue_l_per_kwh", valid_wue, "Invalid WUE: "),
@@ -54,11 +60,16 @@ def row_errors(as_of_year: int, columns: list[str]) -> Column:
         ("rack_count", valid_racks, "Invalid rack count: "),
         ("year", lambda c: valid_year(c, as_of_year), "Invalid year: "),
     ]
-    for name, check, text in checks:
+    for name, check, text in ranges:
         if name in columns:
             shown = F.coalesce(F.col(name).cast("string"), F.lit("None"))
-            add(~check(F.col(name)), F.concat(F.lit(text), shown))
-    return F.array_compact(F.array(*found))
+            found.append((name, check(F.col(name)), F.concat(F.lit(text), shown)))
+    return found
+
+
+def row_errors(as_of_year: int, columns: list[str]) -> Column:
+    """Array of messages, empty for a valid row; checks on absent columns are left out."""
+    return F.array_compact(F.array(*[F.when(~ok, message) for _, ok, message in _checks(as_of_year, columns)]))
 
 
 def with_errors(df: DataFrame, as_of_year: int) -> DataFrame:
@@ -66,7 +77,8 @@ def with_errors(df: DataFrame, as_of_year: int) -> DataFrame:
 
 
 def valid_rows(df: DataFrame, as_of_year: int) -> DataFrame:
-    return with_errors(df, as_of_year).filter(F.size("errors") == 0).drop("errors")
+    """Only rows that pass every check; no message is built for them."""
+    return df.filter(reduce(and_, [ok for _, ok, _ in _checks(as_of_year, df.columns)]))
 
 
 def error_messages(df: DataFrame, as_of_year: int, row: str = "id") -> DataFrame:

@@ -38,12 +38,13 @@ def assemble_records(
         found = found.withColumn("_place", place_in_text(t))
     keep = [c for c in texts.columns if c != text]
     rows = found.drop(text)
+    # An outer explode, filtered afterwards: for a plain one Spark first filters on the size of
+    # the array, and would run all patterns a second time for that.
+    rows = rows.select("*", F.explode_outer("_mentions").alias("_m"))
+    has_record = F.col("_m").isNotNull()
     if variant == "global":
-        named = (F.size("_renewable") > 0) | (F.size("_wue") > 0) | (F.size("_capacity") > 0)
-        rows = rows.filter((F.size("_mentions") > 0) | named)
-        rows = rows.select("*", F.explode_outer("_mentions").alias("_m"))
-    else:
-        rows = rows.select("*", F.explode("_mentions").alias("_m"))
+        has_record |= (F.size("_renewable") > 0) | (F.size("_wue") > 0) | (F.size("_capacity") > 0)
+    rows = rows.filter(has_record)
 
     def first(name: str) -> Column:
         return F.get(F.col(name), F.lit(0))

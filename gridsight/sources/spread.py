@@ -1,0 +1,13 @@
+"""Input splitting."""
+
+from pyspark.sql import DataFrame
+
+
+def spread_if_few(df: DataFrame, at_least: int | None = None) -> DataFrame:
+    """Redistribute a scan that has fewer splits than the session has cores.
+
+    A few unsplittable files would otherwise keep most cores idle through row-by-row work such
+    as text extraction.  A large table has many splits and is returned as it is, unshuffled.
+    """
+    cores = at_least or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
