@@ -20,7 +20,7 @@ def _unnested(column: str, value: str) -> str:
 
 def _exploded(spark, sf, extract, value):
     """Outer explode and filter, so that the patterns run once."""
-    found = X.report_text(spark, sf).select("doc_id", F.posexplode_outer(extract(F.col("text"))).alias("hit_no", value))
+    found = X.report_text(spark, sf).select("doc_id", F.posexplode_outer(extract("text")).alias("hit_no", value))
     return found.filter(F.col("hit_no").isNotNull())
 
 

@@ -9,23 +9,22 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 from gridsight import fixed_values as V
-from gridsight.functions.binding import let
-from gridsight.functions.text import FLAGS, strip
+from gridsight.functions.text import FLAGS
 
 _MENTION = "array<struct<value:double,type:string,year:int,context:string>>"
 # a hit has at least six characters ("PUE1.2"), so 9 neighbours cover 50 characters
 _NEIGHBOURS = 9
 
 
-def all_hits(text: Column, patterns: list[str], group: int = 1) -> Column:
+def all_hits(text: str, patterns: list[str], group: int = 1) -> Column:
     """Group ``group`` of every hit of every pattern."""
     return F.concat(
-        *[F.regexp_extract_all(text, F.lit(FLAGS + p), F.lit(group)) for p in patterns]
+        *[F.regexp_extract_all(F.col(text), F.lit(FLAGS + p), F.lit(group)) for p in patterns]
     )
 
 
-def _any(text: Column, patterns: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [text.rlike(FLAGS + p) for p in patterns])
+def _any(text: str, patterns: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(text).rlike(FLAGS + p) for p in patterns])
 
 
 def _numbers(strings: Column, type_name: str) -> Column:
@@ -34,83 +33,71 @@ def _numbers(strings: Column, type_name: str) -> Column:
     )
 
 
-def _where(text: Column, hint: str, found: Column, type_name: str) -> Column:
+def _where(text: str, hint: str, found: Column, type_name: str) -> Column:
     """Run the patterns only on texts that contain a word all of them need."""
     nothing = F.array().cast(f"array<{type_name}>")
-    return F.when(text.rlike(FLAGS + hint), found).otherwise(nothing)
+    return F.when(F.col(text).rlike(FLAGS + hint), found).otherwise(nothing)
 
 
-def _context(hits: Column, gaps: Column, i: Column) -> Column:
-    """Hit ``i`` with up to 50 characters on both sides, put together from its neighbours."""
-    n, near = F.lit(V.CONTEXT_CHARS), F.lit(_NEIGHBOURS)
-    first, count = F.greatest(i - near, F.lit(0)) + 1, F.least(i, near)
-    before = F.zip_with(
-        F.slice(gaps, first, count),
-        F.slice(hits, first, count),
-        lambda gap, hit: F.concat(F.right(gap, n), F.right(hit, n)),
-    )
-    after = F.zip_with(
-        F.slice(hits, i + 2, near),
-        F.slice(gaps, i + 3, near),
-        lambda hit, gap: F.concat(F.left(hit, n), F.left(gap, n)),
+# The mention expressions are written as SQL: the same Column tree, built call by call for
+# fifteen patterns, takes seconds before a query even starts.
+
+
+def _context_sql() -> str:
+    """Hit ``i`` of ``h`` with up to 50 characters on both sides.
+
+    ``g`` is the text between the hits, so the surroundings are put together from the nearest
+    gaps and hits; no position in the text is needed and the work per hit is constant.
+    """
+    n, k = V.CONTEXT_CHARS, _NEIGHBOURS
+    span = f"greatest(i - {k}, 0) + 1, least(i, {k})"
+    before = f"zip_with(slice(g, {span}), slice(h, {span}), (a, b) -> concat(right(a, {n}), right(b, {n})))"
+    after = f"zip_with(slice(h, i + 2, {k}), slice(g, i + 3, {k}), (b, a) -> concat(left(b, {n}), left(a, {n})))"
+    return (
+        f"concat(right(concat(array_join({before}, ''), get(g, i)), {n}), hit, "
+        f"left(concat(get(g, i + 1), array_join({after}, '')), {n}))"
     )
-    left = F.right(F.concat(F.array_join(before, ""), F.get(gaps, i)), n)
-    right = F.left(F.concat(F.get(gaps, i + 1), F.array_join(after, "")), n)
-    return F.concat(left, F.get(hits, i), right)
 
 
-def pue_type_of(context: Column) -> Column:
+def _type_sql(context: str) -> str:
     """First kind whose words occur in the context; operating when none does."""
-    kind = None
-    for name, pattern in V.PUE_TYPE_PATTERNS:
-        hit = context.rlike(FLAGS + pattern)
-        kind = F.when(hit, name) if kind is None else kind.when(hit, name)
-    return kind.otherwise(V.DEFAULT_PUE_TYPE)
-
-
-def _mentions_of(text: Column, pattern: str) -> Column:
-    """All mentions of one pattern; ``split`` gives the text between the hits."""
-    p = FLAGS + pattern
-    groups = pattern.count(r"(\d")
-    year_first = groups == 2 and pattern.index(r"(\d{4})") < pattern.index(r"(\d+\.\d+)")
-    value_group, year_group = (2, 1) if year_first else (1, 2)
-
-    def mention(parts: Column, hit: Column, i: Column) -> Column:
-        context = let(_context(parts["h"], parts["g"], i), lambda c: F.struct(pue_type_of(c).alias("t"), strip(c).alias("c")))
-        year = F.regexp_extract(hit, p, year_group).try_cast("int") if groups == 2 else F.lit(None).cast("int")
-        return let(
-            context,
-            lambda c: F.struct(
-                F.regexp_extract(hit, p, value_group).try_cast("double").alias("value"),
-                c["t"].alias("type"),
-                year.alias("year"),
-                c["c"].alias("context"),
-            ),
-        )
-
-    parts = F.struct(
-        F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias("h"),
-        F.split(text, p, -1).alias("g"),
+    whens = " ".join(f"when rlike({context}, r'{FLAGS}{p}') then '{name}'" for name, p in V.PUE_TYPE_PATTERNS)
+    return f"case {whens} else '{V.DEFAULT_PUE_TYPE}' end"
+
+
+def _mentions_sql(text: str, pattern: str) -> str:
+    """All mentions of one pattern; the text is only split where there are hits."""
+    p = f"r'{FLAGS}{pattern}'"
+    year, value = pattern.find(r"(\d{4})"), pattern.find(r"(\d+\.\d+)")
+    value_group, year_group = (2, 1) if 0 <= year < value else (1, 2)
+    year_sql = f"try_cast(regexp_extract(hit, {p}, {year_group}) as int)" if year >= 0 else "cast(null as int)"
+    mention = (
+        f"transform(array({_context_sql()}), c -> named_struct("
+        f"'value', try_cast(regexp_extract(hit, {p}, {value_group}) as double), 'type', {_type_sql('c')}, "
+        rf"'year', {year_sql}, 'context', regexp_replace(c, r'(?U)^\s+|\s+$', '')))[0]"
     )
-    return let(parts, lambda x: F.transform(x["h"], lambda hit, i: mention(x, hit, i)))
+    each = f"transform(array(split({text}, {p}, -1)), g -> transform(h, (hit, i) -> {mention}))[0]"
+    return f"transform(array(regexp_extract_all({text}, {p}, 0)), h -> if(size(h) = 0, {_NONE}, {each}))[0]"
+
+
+_NONE = f"cast(array() as {_MENTION})"
 
 
-def pue_mentions(text: Column, extended: bool = False) -> Column:
+def pue_mentions(text: str, extended: bool = False) -> Column:
     """array<struct<value, type, year, context>> of the PUE values in 1.0 to 3.0."""
     patterns = V.PUE_PATTERNS + (V.EXTENDED_PUE_PATTERNS if extended else [])
-    found = F.concat(*[_mentions_of(text, p) for p in patterns])
-    kept = F.filter(found, lambda m: m["value"].between(float(V.PUE_MIN), float(V.PUE_MAX)))
-    nothing = F.array().cast(_MENTION)
-    return F.when(text.rlike(FLAGS + "PUE|Power Usage Effectiveness"), kept).otherwise(nothing)
+    found = ", ".join(_mentions_sql(f"`{text}`", p) for p in patterns)
+    kept = f"filter(concat({found}), m -> m.value between {V.PUE_MIN}D and {V.PUE_MAX}D)"
+    return F.expr(f"if(rlike(`{text}`, r'{FLAGS}PUE|Power Usage Effectiveness'), {kept}, {_NONE})")
 
 
-def wue_values(text: Column) -> Column:
+def wue_values(text: str) -> Column:
     numbers = _numbers(all_hits(text, V.WUE_PATTERNS), "double")
     kept = F.filter(numbers, lambda x: x.between(V.WUE_MIN, V.WUE_MAX))
     return _where(text, r"WUE|Water Usage Effectiveness|per\s*kWh", kept, "double")
 
 
-def renewable_values(text: Column) -> Column:
+def renewable_values(text: str) -> Column:
     """[100] when the text says all energy is renewable, else every percentage named."""
     numbers = _numbers(all_hits(text, V.RENEWABLE_PATTERNS), "int")
     kept = F.filter(numbers, lambda x: x.between(V.RENEWABLE_MIN, V.RENEWABLE_MAX))
@@ -118,25 +105,26 @@ def renewable_values(text: Column) -> Column:
     return _where(text, r"renewable|clean|carbon[- ]free", full, "int")
 
 
-def capacity_values(text: Column, extended: bool = False) -> Column:
+def capacity_values(text: str, extended: bool = False) -> Column:
     patterns = V.CAPACITY_PATTERNS + (V.EXTENDED_CAPACITY_PATTERNS if extended else [])
     numbers = _numbers(all_hits(text, patterns), "double")
     kept = F.filter(numbers, lambda x: (x > V.CAPACITY_ABOVE) & (x <= V.CAPACITY_MAX))
     return _where(text, "MW|megawatt", kept, "double")
 
 
-def rack_values(text: Column) -> Column:
+def rack_values(text: str) -> Column:
     digits = F.transform(all_hits(text, V.RACK_PATTERNS), lambda s: F.replace(s, F.lit(","), F.lit("")))
     kept = F.filter(_numbers(digits, "int"), lambda x: (x > V.RACKS_ABOVE) & (x <= V.RACKS_MAX))
     return _where(text, "rack", kept, "int")
 
 
-def years(text: Column) -> Column:
+def years(text: str) -> Column:
     """Distinct years 2010 to 2029, latest first."""
-    return F.sort_array(F.array_distinct(_numbers(all_hits(text, V.YEAR_PATTERNS), "int")), asc=False)
+    found = F.sort_array(F.array_distinct(_numbers(all_hits(text, V.YEAR_PATTERNS), "int")), asc=False)
+    return _where(text, "20[12]", found, "int")
 
 
-def location_phrases(text: Column) -> Column:
+def location_phrases(text: str) -> Column:
     """array<struct<first, second>>: "located in X" has no second part, "City, Country" has."""
     place, pair = V.LOCATION_PATTERNS
     singles = F.transform(

@@ -23,19 +23,18 @@ def assemble_records(
     """
     if variant not in ("global", "colocation", "india"):
         raise ValueError(f"unknown variant: {variant}")
-    t = F.col(text)
     found = texts.withColumns(
         {
-            "_mentions": M.pue_mentions(t, extended),
-            "_wue": M.wue_values(t),
-            "_renewable": M.renewable_values(t),
-            "_capacity": M.capacity_values(t, extended),
-            "_racks": M.rack_values(t),
-            "_years": M.years(t),
+            "_mentions": M.pue_mentions(text, extended),
+            "_wue": M.wue_values(text),
+            "_renewable": M.renewable_values(text),
+            "_capacity": M.capacity_values(text, extended),
+            "_racks": M.rack_values(text),
+            "_years": M.years(text),
         }
     )
     if variant == "india":
-        found = found.withColumn("_place", place_in_text(t))
+        found = found.withColumn("_place", place_in_text(F.col(text)))
     keep = [c for c in texts.columns if c != text]
     rows = found.drop(text)
     # An outer explode, filtered afterwards: for a plain one Spark first filters on the size of
