@@ -6,6 +6,7 @@ from gridsight.catalog import fixtures as X
 from gridsight.catalog.base import query
 from gridsight.catalog.oracle_sql import dbl, mean, with_ctes
 from gridsight.functions import metrics
+from gridsight.operators.joins import salted_join
 from gridsight.plans import measures, views
 
 _FACT_NUMBERS = dbl("pue_value", "cooling_overhead_pct", "capacity_mw", "wue_l_per_kwh", "annual_waste_mwh")
@@ -14,13 +15,13 @@ _FACT_NUMBERS = dbl("pue_value", "cooling_overhead_pct", "capacity_mw", "wue_l_p
 @query("jn01_fact_company", with_ctes("SELECT fact_id, company_name, tier FROM star_rows", "star_rows"))
 def _(spark, sf):
     facts, companies, _ = X.star(spark, sf)
-    return facts.join(companies, "company_id").select("fact_id", "company_name", "tier")
+    return salted_join(facts, companies, ["company_id"], "inner", "fact_id").select("fact_id", "company_name", "tier")
 
 
 @query("jn02_fact_location", with_ctes("SELECT fact_id, city, country FROM star_rows", "star_rows"))
 def _(spark, sf):
     facts, _, locations = X.star(spark, sf)
-    return facts.join(locations, "location_id", "left").select("fact_id", "city", "country")
+    return salted_join(facts, locations, ["location_id"], "left", "fact_id").select("fact_id", "city", "country")
 
 
 @query("jn08_star_relationships", with_ctes("SELECT fact_id, company_name, tier, city, country, avg_temp_celsius::DOUBLE AS avg_temp_celsius FROM star_rows", "star_rows"))

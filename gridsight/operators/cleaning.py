@@ -9,6 +9,7 @@ from gridsight import fixed_values as V
 from gridsight import schemas
 from gridsight.functions.numbers import dec, nan_to_null, safe_number
 from gridsight.functions.text import lookup
+from gridsight.operators.joins import salted_join
 
 
 def normalize_schema(df: DataFrame, schema: T.StructType = schemas.RECORD, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -34,15 +35,18 @@ def convert(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return df.withColumns({c: safe_number(F.col(c), t) for c, t in types.items()})
 
 
-def backfill_tier(df: DataFrame, registry: DataFrame) -> DataFrame:
+def backfill_tier(df: DataFrame, registry: DataFrame, spread: str | None = None) -> DataFrame:
     """Missing tier from the company registry, by name without regard to case.
 
     Only rows without a tier look at the registry; the others carry a NULL join key and pass.
+    ``spread`` names a column that differs from row to row; by default the whole row is used.
     """
     missing = F.coalesce("tier", F.lit("")) == ""
     known = registry.groupBy(F.lower("name").alias("_name")).agg(F.min_by("tier", "name").alias("_tier"))
-    joined = df.join(known, F.when(missing, F.lower(df["company"])) == known["_name"], "left")
-    return joined.withColumn("tier", F.when(missing, F.col("_tier")).otherwise(F.col("tier"))).drop("_name", "_tier")
+    wanted = df.withColumn("_wanted", F.when(missing, F.lower("company")))
+    salt = F.col(spread) if spread else F.xxhash64(*df.columns)
+    joined = salted_join(wanted, known, {"_wanted": "_name"}, "left", salt)
+    return joined.withColumn("tier", F.when(missing, F.col("_tier")).otherwise(F.col("tier"))).drop("_wanted", "_tier")
 
 
 def fill_missing_pue(df: DataFrame) -> DataFrame:

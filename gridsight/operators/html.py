@@ -24,6 +24,9 @@ _ENDS = {
 # how far up the search for such a tag may go
 _WALLS = {"li": {"ul", "ol"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 
+# parsed pages held in a worker at a time
+PAGES_AT_ONCE = 200
+
 PAGE_SCHEMA = (
     "full_text string, selected_text string, "
     "sections array<struct<tag:string,text:string,html:string>>, tables array<array<array<string>>>"
@@ -147,7 +150,7 @@ def parse_pages(
     words = [k.lower() for k in (keywords or V.SECTION_KEYWORDS)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (b.iloc[i : i + PAGES_AT_ONCE] for b in batches for i in range(0, len(b), PAGES_AT_ONCE)):
             parsed = [_Page(h or "", selector) for h in batch["html"]]
             yield pd.DataFrame(
                 {

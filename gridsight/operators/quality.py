@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gridsight import fixed_values as V
 from gridsight.functions.numbers import dec
+from gridsight.operators.joins import salted_join
 
 
 def _number(col: Column) -> Column:
@@ -138,9 +139,9 @@ def unexpected_values(df: DataFrame, column: str, accepted: list, where: Column
     )
 
 
-def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+def orphans(fact: DataFrame, dim: DataFrame, key: str, spread: str = "fact_id") -> DataFrame:
     """Fact rows whose key is set but absent from the dimension."""
-    return fact.filter(F.col(key).isNotNull()).join(dim.select(key), key, "left_anti")
+    return salted_join(fact.filter(F.col(key).isNotNull()), dim.select(key), [key], "left_anti", spread)
 
 
 REQUIRED_OUTPUT = ["company", "pue_value", "tier", "city", "country", "year", "pue_type"]

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gridsight import schemas
 from gridsight.operators import mentions as M
+from gridsight.operators.joins import salted_join
 from gridsight.operators.location import enrich_location, place_in_text
 
 
@@ -68,10 +69,10 @@ def assemble_records(
     return enrich_location(out) if variant == "india" else out
 
 
-def stamp_company(records: DataFrame, registry: DataFrame) -> DataFrame:
+def stamp_company(records: DataFrame, registry: DataFrame, spread: str = "source_url") -> DataFrame:
     """Tier and region of the company overwrite what the record says."""
-    info = registry.select(F.col("name").alias("company"), "tier", "region")
-    return records.drop("tier", "region").join(info, "company", "left")
+    info = registry.select("name", "tier", "region")
+    return salted_join(records.drop("tier", "region"), info, {"company": "name"}, "left", spread)
 
 
 def known_facility_records(registry: DataFrame, as_of: str) -> DataFrame:
@@ -106,15 +107,15 @@ def route_urls(urls: DataFrame, url: str = "url") -> DataFrame:
     return urls.withColumn("kind", F.when(F.contains(u, F.lit("pdf")), "pdf").otherwise("html"))
 
 
-def first_source_with_data(candidates: DataFrame, key: str = "company") -> DataFrame:
+def first_source_with_data(candidates: DataFrame, key: str = "company", spread: str = "id") -> DataFrame:
     """Rows of the best (stage, hit) that has any row, per company.
 
-    The best pair is a small pre-aggregated table, joined back on the full key, so a large
-    company is never gathered in one window.
+    The best pair is one pre-aggregated row per company, joined back with salt, so a large
+    company is never gathered in one window or task.
     """
     best = candidates.groupBy(key).agg(F.min(F.struct("stage", "hit")).alias("_b"))
     best = best.select(key, F.col("_b.stage").alias("stage"), F.col("_b.hit").alias("hit"))
-    return candidates.join(best, [key, "stage", "hit"], "left_semi")
+    return salted_join(candidates, best, [key, "stage", "hit"], "left_semi", spread)
 
 
 def extraction_summary(records: DataFrame) -> DataFrame:

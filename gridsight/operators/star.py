@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gridsight.functions.metrics import annual_waste_mwh, cooling_overhead_pct
 from gridsight.operators.dedup import first_in_input_order
+from gridsight.operators.joins import salted_join
 from gridsight.operators.quality import split_by_constraints
 
 
@@ -47,17 +48,16 @@ def fact_rows(df: DataFrame, dim_company: DataFrame, dim_location: DataFrame, se
     """Accepted facts and rejected rows.
 
     Rows of unknown companies are dropped; an unknown place leaves the location key NULL.
-    Only keys are joined: large companies stay spread, since adaptive execution splits the
-    fact side of a skewed semi or left join.
+    Both joins only look up keys and are salted, so large companies and places stay spread.
     """
     good, rejected = split_by_constraints(df)
-    places = dim_location.select("location_id")
+    places = dim_location.select("location_id", F.col("location_id").alias("_place"))
     has_city = F.coalesce("city", F.lit("")) != ""
-    keyed = good.withColumn("company_id", key_of("company")).join(
-        dim_company.select("company_id"), "company_id", "left_semi"
+    keyed = good.withColumns(
+        {"company_id": key_of("company"), "_place_key": F.when(has_city, key_of("city", "country"))}
     )
-    keyed = keyed.withColumn("_loc", F.when(has_city, key_of("city", "country")))
-    located = keyed.join(places, keyed["_loc"] == places["location_id"], "left")
+    keyed = salted_join(keyed, dim_company.select("company_id"), ["company_id"], "left_semi", seq)
+    located = salted_join(keyed, places, {"_place_key": "_place"}, "left", seq)
     facts = located.select(
         F.sha2(F.col(seq), 256).alias("fact_id"),
         "company_id",

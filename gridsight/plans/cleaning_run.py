@@ -17,7 +17,7 @@ def clean(records: DataFrame, registry: DataFrame, as_of_year: int, seq: str = "
     shuffle of whole rows.
     """
     rows = normalize_schema(records, extra=(seq,))
-    rows = backfill_tier(enrich_location(rows), registry)
+    rows = backfill_tier(enrich_location(rows), registry, seq)
     rows = valid_rows(fill_missing_pue(rows), as_of_year)
     return with_derived_metrics(keep_best_quality(rows, seq=seq))
 

@@ -1,8 +1,7 @@
 """Views over the star schema.
 
-Row-level views join the dimensions without a hint: a dimension grows with the data, so Spark
-broadcasts it only while it is below the session's size limit, and adaptive execution splits
-the fact side of a skewed join.  Aggregate views first reduce the facts to one row per key and
+Row-level views join the dimensions with salt and without a hint: a dimension grows with the
+data, so Spark broadcasts it only while it is below the session's size limit.  Aggregate views first reduce the facts to one row per key and
 join the dimension afterwards, so a company with a third of the facts is one row by then.
 """
 
@@ -10,13 +9,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gridsight.functions import metrics as X
 from gridsight.functions.numbers import dec, half_up_ratio
+from gridsight.operators.joins import salted_join
 
 
 def with_dimensions(fact: DataFrame, dim_company: DataFrame, dim_location: DataFrame) -> DataFrame:
     """Facts with their company (inner) and their place, if any (left)."""
     companies = dim_company.select("company_id", "company_name", "tier")
     places = dim_location.select("location_id", "city", "country", "avg_temp_celsius")
-    return fact.join(companies, "company_id").join(places, "location_id", "left")
+    named = salted_join(fact, companies, ["company_id"], "inner", "fact_id")
+    return salted_join(named, places, ["location_id"], "left", "fact_id")
 
 
 def efficiency_leaderboard(fact: DataFrame, dim_company: DataFrame, dim_location: DataFrame) -> DataFrame:
@@ -98,7 +99,7 @@ def climate_view(fact: DataFrame, dim_company: DataFrame, dim_location: DataFram
 def design_vs_operating(fact: DataFrame, dim_company: DataFrame) -> DataFrame:
     rows = fact.filter(F.col("pue_type").isin("design", "operating", "TTM"))
     return (
-        rows.join(dim_company.select("company_id", "company_name"), "company_id")
+        salted_join(rows, dim_company.select("company_id", "company_name"), ["company_id"], "inner", "fact_id")
         .orderBy("company_name", F.desc_nulls_first("year"), "fact_id")
         .select("company_name", "pue_type", "pue_value", "year", "facility_name")
     )
