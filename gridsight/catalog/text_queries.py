@@ -116,13 +116,15 @@ def _(spark, sf):
     return records.stamp_company(X.raw_pue(spark, sf), X.registry(spark, sf)).select("id", "company", "tier", "region")
 
 
-_VISIBLE = r"""
-SELECT page_id, array_to_string(list_filter(list_transform(string_split_regex(
-  regexp_replace(html, '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>', '<x>', 'g'), '<[^>]*>'), lambda x: trim(x, {blank})),
-  lambda x: x <> ''), ' ') AS full_text FROM pages_ext"""
+# What is left of a page without hidden parts, split at its tags.  Enough for these pages, whose
+# attributes hold no ">" and whose entities are these four.
+_PIECES = """
+list_filter(list_transform(string_split_regex(regexp_replace(html, '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>', '<x>', 'g'), '<[^>]*>'),
+  lambda x: trim(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&'), chr(10) || chr(13) || chr(9) || ' ')), lambda x: x <> '')"""
+_VISIBLE = f"SELECT page_id, array_to_string({_PIECES}, ' ') AS full_text FROM pages_ext"
 
 
-@query("txt15_html_text")
+@query("txt15_html_text", with_ctes(_VISIBLE, "pages_ext"))
 def _(spark, sf):
     return html.page_text(X.pages_ext(spark, sf))
 
@@ -170,7 +172,12 @@ def _(spark, sf):
     return html.table_cells(X.pages_ext(spark, sf))
 
 
-@query("txt20_keyword_sections")
+_FACTS = "'The data center achieved a PUE of 1.' || (page_id % 90 + 10)::VARCHAR || ' in 2025.'"
+
+
+@query("txt20_keyword_sections", with_ctes(f"""
+SELECT page_id, 0 AS section_no, 'section' AS tag, {_FACTS} AS text, '<section class="facts"><p>' || {_FACTS} || '</p></section>' AS html FROM pages_ext UNION ALL
+SELECT page_id, 1, 'p', {_FACTS}, '<p>' || {_FACTS} || '</p>' FROM pages_ext""", "pages_ext"))
 def _(spark, sf):
     return html.keyword_sections(X.pages_ext(spark, sf))
 
@@ -182,7 +189,8 @@ def _(spark, sf):
     return X.report_text(spark, sf).select("doc_id", clean_text(F.col("text")).alias("text"))
 
 
-@query("txt22_page_bundle")
+@query("txt22_page_bundle", with_ctes(
+    f"SELECT page_id, length(full_text)::INTEGER AS text_chars, 2 AS sections, 2 AS tables, 4 AS pdf_links FROM ({_VISIBLE})", "pages_ext"))
 def _(spark, sf):
     found = html.page_bundle(X.pages_ext(spark, sf))
     return found.select(

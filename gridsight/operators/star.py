@@ -79,3 +79,24 @@ def fact_rows(df: DataFrame, dim_company: DataFrame, dim_location: DataFrame, se
         "extraction_date",
     )
     return facts, rejected
+
+
+def with_audit(df: DataFrame, at: str) -> DataFrame:
+    """New rows with the times of creation and last change."""
+    now = F.lit(at).cast("timestamp")
+    return df.withColumns({"created_at": now, "updated_at": now})
+
+
+def rewritten(existing: DataFrame, changes: DataFrame, key: str, column: str, at: str) -> DataFrame:
+    """Existing rows with a changed column value; only rows that change get a new ``updated_at``."""
+    new = changes.select(key, F.col(column).alias("_new"), F.lit(True).alias("_hit"))
+    joined = existing.join(new, key, "left")
+    changed = F.coalesce("_hit", F.lit(False)) & ~F.col(column).eqNullSafe(F.col("_new"))
+    return joined.select(
+        *[
+            F.when(changed, F.col("_new")).otherwise(F.col(c)).alias(c) if c == column
+            else F.when(changed, F.lit(at).cast("timestamp")).otherwise(F.col(c)).alias(c) if c == "updated_at"
+            else F.col(c)
+            for c in existing.columns
+        ]
+    )
