@@ -66,7 +66,7 @@ _CLEAN = (
 
 @query("enr08_cleaning_run", with_ctes(f"SELECT {_CLEAN} FROM cleaned", "cleaned"))
 def _(spark, sf):
-    return X.cleaned(spark, sf).drop("extraction_date")
+    return X.clean_run(spark, sf).drop("extraction_date")
 
 
 @query("enr09_quality_dedup", with_ctes(f"SELECT id, company, facility_name, city FROM ({BEST.format(src='enriched')})", "enriched", "type_prio", "source_prio"))
@@ -273,7 +273,7 @@ def _(spark, sf):
 SELECT company_id, company_name, tier, region, false AS is_new FROM dim_company WHERE company_name < 'Supplier#000000005' UNION ALL
 SELECT company_id, company_name, tier, region, true FROM dim_company WHERE company_name >= 'Supplier#000000005'""", "dim_company"))
 def _(spark, sf):
-    found = star.company_candidates(X.enriched(spark, sf))
+    found = star.company_candidates(X.warehouse_rows(spark, sf))
     existing = found.filter("company_name < 'Supplier#000000005'").withColumn("is_new", F.lit(False))
     return star.upserted(found.withColumn("is_new", F.lit(True)), existing, "company_id")
 
@@ -282,7 +282,7 @@ def _(spark, sf):
 SELECT location_id, city, country, country_code, region, avg_temp_celsius::DOUBLE AS avg_temp_celsius, country IS NOT NULL AS is_new FROM dim_location""",
     "dim_location"))
 def _(spark, sf):
-    found = star.location_candidates(X.enriched(spark, sf))
+    found = star.location_candidates(X.warehouse_rows(spark, sf))
     existing = found.filter("country is null").withColumn("is_new", F.lit(False))
     return star.upserted(found.withColumn("is_new", F.lit(True)), existing, "location_id")
 
@@ -291,8 +291,7 @@ def _(spark, sf):
     "SELECT fact_id, company_id, location_id, year, " + dbl("pue_value", "capacity_mw", "cooling_overhead_pct", "annual_waste_mwh")
     + ", rack_count, renewable_pct, source_type, strftime(extraction_date, '%Y-%m-%d') AS extraction_date FROM fact", "fact"))
 def _(spark, sf):
-    facts, _, _ = X.star(spark, sf)
-    return facts.select(
+    return X.fact_load(spark, sf).select(
         "fact_id", "company_id", "location_id", "year", "pue_value", "capacity_mw", "cooling_overhead_pct", "annual_waste_mwh",
         "rack_count", "renewable_pct", "source_type", "extraction_date",
     )

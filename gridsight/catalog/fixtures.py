@@ -3,7 +3,9 @@
 The given tables have no facility figures, so these are computed from their keys, over all rows.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 
 from gridsight.catalog.base import scratch
 from gridsight.operators.location import enrich_location
@@ -11,7 +13,6 @@ from gridsight.operators.star import company_candidates, fact_rows, location_can
 from gridsight.plans.cleaning_run import clean
 from gridsight.plans.marts import staging
 from gridsight.sources.spread import spread_if_few
-from gridsight.sources.writers import materialize
 
 AS_OF = "2025-06-30"
 AS_OF_YEAR = 2025
@@ -79,33 +80,56 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_location(raw_pue(spark, sf_dir))
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table of the warehouse: written once per session, as a load does, and read back.
+
+    Plans over it know its true size, prune its columns and push filters into its scan.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = scratch(spark, name)
+        build().write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
+def warehouse_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table of the warehouse: all enriched records."""
+    return stored(spark, sf_dir, "raw_pue_data", lambda: enriched(spark, sf_dir))
+
+
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging(enriched(spark, sf_dir))
+    return staging(warehouse_rows(spark, sf_dir))
 
 
-def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(raw_pue(spark, sf_dir), registry(spark, sf_dir), AS_OF_YEAR)
 
 
-_STARS: dict[tuple[str, str], str] = {}
+def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored result of the cleaning run."""
+    return stored(spark, sf_dir, "cleaned", lambda: clean_run(spark, sf_dir))
 
 
-def star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Fact, company and location tables loaded from the enriched records.
+def dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Stored company and location tables."""
+    return (
+        stored(spark, sf_dir, "dim_company", lambda: company_candidates(warehouse_rows(spark, sf_dir))),
+        stored(spark, sf_dir, "dim_location", lambda: location_candidates(warehouse_rows(spark, sf_dir))),
+    )
 
-    The load is written once per session, as a warehouse load is, and read back: the plans
-    over it then know the real table sizes and prune columns.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STARS:
-        root, rows = scratch(spark, "star"), enriched(spark, sf_dir)
-        companies = materialize(company_candidates(rows), "dim_company", root)
-        locations = materialize(location_candidates(rows), "dim_location", root)
-        facts, _ = fact_rows(rows, companies, locations)
-        materialize(facts, "fact_efficiency", root)
-        _STARS[key] = root
-    tables = ("fact_efficiency", "dim_company", "dim_location")
-    return tuple(spark.read.parquet(f"{_STARS[key]}/{t}") for t in tables)
+
+def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts computed against the stored dimensions."""
+    return fact_rows(warehouse_rows(spark, sf_dir), *dimensions(spark, sf_dir))[0]
+
+
+def star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored fact, company and location tables."""
+    return stored(spark, sf_dir, "fact_efficiency", lambda: fact_load(spark, sf_dir)), *dimensions(spark, sf_dir)
 
 
 def report_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,10 +15,14 @@ def strip(col: Column) -> Column:
 
 
 def title_case(col: Column) -> Column:
-    """Upper-case every letter that does not follow a letter, lower-case the others."""
+    """Upper-case every letter that does not follow a letter, lower-case the others.
+
+    ``initcap`` only starts a word after a blank, so it serves texts of letters and blanks; the
+    others are taken apart.
+    """
     runs = F.regexp_extract_all(F.lower(col), F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
     capital = F.transform(runs, lambda r: F.concat(F.upper(F.left(r, F.lit(1))), F.substring(r, 2, 2**31 - 1)))
-    return F.array_join(capital, "")
+    return F.when(col.rlike(r"[^\p{L} ]"), F.array_join(capital, "")).otherwise(F.initcap(col))
 
 
 def lookup(col: Column, table: dict, default: Column | None = None) -> Column:
