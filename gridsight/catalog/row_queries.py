@@ -147,15 +147,13 @@ def _(spark, sf):
     return readers.read_clean_csv(spark, path, rows.schema)
 
 
-@query("snk03_append_valid_rows", with_ctes(
-    "SELECT count(*) AS inserted, (SELECT count(*) FROM raw_pue) - count(*) AS rejected FROM raw_pue WHERE year IS NOT NULL "
-    "AND pue_value BETWEEN 1.0 AND 3.0 AND coalesce(renewable_pct BETWEEN 0 AND 100, true)", "raw_pue"))
-def _(spark, sf):
-    good, bad = scratch(spark, "raw"), scratch(spark, "rejected")
-    writers.append_valid(X.raw_pue(spark, sf), good, bad)
-    inserted = readers.read_table(spark, good).agg(F.count(F.lit(1)).alias("inserted"))
-    rejected = readers.read_table(spark, bad).agg(F.count(F.lit(1)).alias("rejected"))
-    return inserted.join(rejected)
+@query("snk03_append_valid_rows", with_ctes("""
+SELECT CASE WHEN year IS NOT NULL AND pue_value BETWEEN 1.0 AND 3.0 AND coalesce(renewable_pct BETWEEN 0 AND 100, true)
+  THEN 'inserted' ELSE 'rejected' END AS outcome, id FROM raw_pue""", "raw_pue"))
+def _(spark, sf):
+    paths = {"inserted": scratch(spark, "raw"), "rejected": scratch(spark, "rejected")}
+    writers.append_valid(X.raw_pue(spark, sf), *paths.values())
+    return cleaning.append_all([readers.read_table(spark, p).select(F.lit(o).alias("outcome"), "id") for o, p in paths.items()])
 
 
 @query("snk04_run_summary", with_ctes("""
