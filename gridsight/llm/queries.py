@@ -1,10 +1,13 @@
 """The registered queries of this subpackage: one per operator, over its whole table."""
 
-from . import html_text, sharding
+from . import decontaminate, html_text, sharding
 
 QUERIES = {
+    "op6_benchmark_decontamination": decontaminate.op6,
     "op7_html_extraction": html_text.op7,
     "op10_sharding": sharding.op10,
 }
 #: SQL counterparts; the operators without one are tested against a brute-force version.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_benchmark_decontamination": decontaminate.SQL,
+}
