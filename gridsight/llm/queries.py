@@ -1,13 +1,15 @@
 """The registered queries of this subpackage: one per operator, over its whole table."""
 
-from . import decontaminate, html_text, sharding
+from . import decontaminate, html_text, jaccard, sharding
 
 QUERIES = {
     "op6_benchmark_decontamination": decontaminate.op6,
     "op7_html_extraction": html_text.op7,
+    "op8_ngram_jaccard_join": jaccard.op8,
     "op10_sharding": sharding.op10,
 }
 #: SQL counterparts; the operators without one are tested against a brute-force version.
 ORACLES: dict[str, str] = {
     "op6_benchmark_decontamination": decontaminate.SQL,
+    "op8_ngram_jaccard_join": jaccard.SQL,
 }
