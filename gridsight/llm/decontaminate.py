@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
+from .cells import bit_map, has_bit
 from .shared import stored, table
 from .words import ALNUM, blocks, grams, hashes, mix, spans
 
@@ -79,12 +80,7 @@ def print_filter(windows: DataFrame) -> np.ndarray:
     bits = LEAST_BITS
     while bits < MOST_BITS and bits < 64 * n:
         bits *= 2
-    bit = F.pmod("print", F.lit(bits)) + 1
-    parts = windows.groupBy(F.bitmap_bucket_number(bit).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("map")).collect()
-    out = np.zeros(bits // 8, np.uint8)
-    for part, piece in parts:
-        out[(part - 1) * 4096 : part * 4096] = np.frombuffer(piece, np.uint8)
-    return out
+    return bit_map(windows, F.col("print"), bits)
 
 
 def _candidates(docs: DataFrame, lengths: list[int], bits: np.ndarray) -> DataFrame:
@@ -107,7 +103,7 @@ def _candidates(docs: DataFrame, lengths: list[int], bits: np.ndarray) -> DataFr
                 at, index = np.unique(at, return_index=True)
                 prints = prints[index]
                 bit = (prints % np.uint64(len(bitmap) * 8)).astype(np.int64)  # the filter has a power of two of bits
-                known = (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+                known = has_bit(bitmap, bit)
                 around = span - _run(span)
                 for i, p in zip(at[known], prints[known].view(np.int64)):
                     doc = owner[i]

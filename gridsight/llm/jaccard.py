@@ -20,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import Window as W
 
+from .cells import SCHEMA, bit_map, has_bit, packed, summed
 from .graph import components
 from .shared import stored, table
 from .words import NOT_SPACE, blocks, grams, hashes, mix, spans
@@ -31,8 +31,8 @@ from .words import NOT_SPACE, blocks, grams, hashes, mix, spans
 SHINGLE = 5
 #: Similarity in hundredths.
 PERCENT = 80
-#: Cells of the token counts (16 MB), and how many of them travel in one row.
-CELLS, CELLS_PER_ROW = 1 << 21, 4096
+#: Cells of the token counts (8 MB).
+CELLS = 1 << 21
 #: Bits of the filter for the documents that a comparison needs (2 MB).
 ID_BITS = 1 << 24
 #: Groups up to this size are paired by a join; larger ones in tiles of so many rows.
@@ -64,30 +64,11 @@ def token_counts(docs: DataFrame, shingle: int, cells: int = CELLS) -> np.ndarra
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells, np.int64)
         for _, data, begin in blocks(batches, "text"):
-            for tokens in _sets(data, begin, shingle):
-                np.add.at(total, (tokens & np.uint64(cells - 1)).astype(np.int64), 1)
-        yield from _rows(total)
-
-    def _rows(total: np.ndarray) -> Iterator[pa.RecordBatch]:
-        parts = total.reshape(-1, min(CELLS_PER_ROW, len(total)))
-        kept = np.flatnonzero(parts.any(axis=1))
-        if len(kept):
-            yield pa.record_batch([pa.array(kept, pa.int32()), pa.array([parts[i].astype(np.uint32).tobytes() for i in kept], pa.binary())], ["part", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, piece in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums[part] = sums.get(part, 0) + np.frombuffer(piece, np.uint32).astype(np.int64)
-        if sums:
-            yield pa.record_batch([pa.array(sums, pa.int32()), pa.array([np.minimum(v, 2**32 - 1).astype(np.uint32).tobytes() for v in sums.values()], pa.binary())], ["part", "counts"])
+            tokens = np.concatenate(_sets(data, begin, shingle) or [np.zeros(0, np.uint64)])
+            np.add.at(total, (tokens & np.uint64(cells - 1)).astype(np.int64), 1)
+        yield packed(total)
 
-    # every part lies in one partition, whose rows stream through ``add``
-    rows = docs.select("text").mapInArrow(count, "part int, counts binary").repartition("part").mapInArrow(add, "part int, counts binary").collect()
-    out = np.zeros((max(1, cells // CELLS_PER_ROW), min(CELLS_PER_ROW, cells)), np.uint32)
-    for part, piece in rows:
-        out[part] = np.frombuffer(piece, np.uint32)
-    return out.reshape(-1)
+    return summed(docs.select("text").mapInArrow(count, SCHEMA), cells)
 
 
 def _prefix(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -148,18 +129,10 @@ def _possible(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
     return both.mapInArrow(run, f"x {kind}, y {kind}").distinct()
 
 
-def _id_filter(ids: DataFrame) -> np.ndarray:
-    bit = F.pmod(F.xxhash64("id"), F.lit(ID_BITS)) + 1
-    out = np.zeros(ID_BITS // 8, np.uint8)
-    for part, piece in ids.groupBy(F.bitmap_bucket_number(bit).alias("p")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("m")).collect():
-        out[(part - 1) * 4096 : part * 4096] = np.frombuffer(piece, np.uint8)
-    return out
-
-
 def _similar(pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     """The pairs (x, y) whose sets are similar, from the texts of just these documents."""
     ids = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct()
-    kept = docs.sparkSession.sparkContext.broadcast(_id_filter(ids))
+    kept = docs.sparkSession.sparkContext.broadcast(bit_map(ids, F.xxhash64("id"), ID_BITS))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, seen = kept.value, set()
@@ -167,7 +140,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
         def some() -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 bit = batch.column(1).to_numpy(zero_copy_only=False)
-                yield batch.filter(pa.array((wanted[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1))
+                yield batch.filter(pa.array(has_bit(wanted, bit)))
 
         for rows, data, begin in blocks(some(), "text"):
             out: tuple[list, list] = ([], [])

@@ -1,8 +1,9 @@
 """The registered queries of this subpackage: one per operator, over its whole table."""
 
-from . import decontaminate, html_text, jaccard, sharding
+from . import decontaminate, html_text, jaccard, sharding, toxicity
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2,
     "op6_benchmark_decontamination": decontaminate.op6,
     "op7_html_extraction": html_text.op7,
     "op8_ngram_jaccard_join": jaccard.op8,
