@@ -1,9 +1,10 @@
 """The registered queries of this subpackage: one per operator, over its whole table."""
 
-from . import decontaminate, html_text, jaccard, sharding, toxicity
+from . import bpe, decontaminate, html_text, jaccard, sharding, toxicity
 
 QUERIES = {
     "op2_toxicity": toxicity.op2,
+    "op3_byte_level_bpe": bpe.op3,
     "op6_benchmark_decontamination": decontaminate.op6,
     "op7_html_extraction": html_text.op7,
     "op8_ngram_jaccard_join": jaccard.op8,
