@@ -1,8 +1,9 @@
 """The registered queries of this subpackage: one per operator, over its whole table."""
 
-from . import bpe, decontaminate, html_text, jaccard, sharding, toxicity
+from . import ann, bpe, decontaminate, html_text, jaccard, sharding, toxicity
 
 QUERIES = {
+    "op1_nearest_neighbours": ann.op1,
     "op2_toxicity": toxicity.op2,
     "op3_byte_level_bpe": bpe.op3,
     "op6_benchmark_decontamination": decontaminate.op6,
