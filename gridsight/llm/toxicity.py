@@ -27,12 +27,12 @@ from .words import ALNUM, blocks, hashes, mix, spans
 
 RUN = 5
 DISCOUNT = 0.75
-#: Cells of the score tables that scoring tasks hold (16 MB and 4 MB), whatever the corpus.
+#: Cells of the score tables that scoring tasks hold (two of 8 MB, one of 2 MB), whatever the corpus.
 RUN_CELLS, CONTEXT_CELLS = 1 << 22, 1 << 20
-#: Cells of the word counts (two tables of 16 MB).
-WORD_CELLS = 1 << 23
-#: Bits of the filter that finds labelled documents (16 MB).
-ID_BITS = 1 << 27
+#: Cells of the word counts (two tables of 8 MB).
+WORD_CELLS = 1 << 22
+#: Bits of the filter that finds labelled documents (2 MB).
+ID_BITS = 1 << 24
 #: Lengths in bytes of the passages that are looked at besides the whole text.
 PASSAGES = (6, 14, 60)
 #: The same in words.
@@ -48,6 +48,15 @@ BUFFER = 1 << 21
 FEATURES = ["whole", *[f"best_{n}" for n in PASSAGES], "words", *[f"words_{n}" for n in WORD_PASSAGES]]
 
 
+def _short(x: np.ndarray) -> np.ndarray:
+    """Floats cut to their upper 16 bits (eight bits of precision), to send less."""
+    return (x.astype(np.float32).view(np.uint32) >> np.uint32(16)).astype(np.uint16)
+
+
+def _long(x: np.ndarray) -> np.ndarray:
+    return (x.astype(np.uint32) << np.uint32(16)).view(np.float32)
+
+
 def _stream(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words with one blank between them, a blank before and after every text; for every text,
     where its runs begin and end in the list of all runs."""
@@ -195,7 +204,7 @@ def _best(total: np.ndarray, a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray
 def features(docs: DataFrame, runs_of: tuple[np.ndarray, ...], words_of: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """doc_id and the evidence of every whole text, in nats per byte and per word; 0 for a text
     without words."""
-    kept = docs.sparkSession.sparkContext.broadcast((runs_of, words_of))
+    kept = docs.sparkSession.sparkContext.broadcast((tuple(map(_short, runs_of)), tuple(map(_short, words_of))))
     seen = [max(int(w.sum()), 1) for w in words_of]
     left = [max(DISCOUNT * np.count_nonzero(w) / size, 1e-9) for w, size in zip(words_of, seen)]
 
@@ -205,20 +214,21 @@ def features(docs: DataFrame, runs_of: tuple[np.ndarray, ...], words_of: tuple[n
             stream, a, b = _stream(data, begin)
             runs = _runs(stream)
             cell = _cell(runs, RUN_CELLS)
-            ratio = known[cell]
+            ratio = _long(known[cell])
             new = np.flatnonzero(np.isnan(ratio))
-            ratio[new] = np.nan_to_num(unknown[_cell(runs[new] >> np.uint64(8), CONTEXT_CELLS)])
+            ratio[new] = np.nan_to_num(_long(unknown[_cell(runs[new] >> np.uint64(8), CONTEXT_CELLS)]))
             total = np.concatenate([[0.0], np.cumsum(ratio, dtype=np.float64)])
             columns = [(total[b] - total[a]) / np.maximum(b - a, 1), *[_best(total, a, b, m) for m in PASSAGES]]
 
             # a word's bytes under the shared model: the runs that end within it or just behind it
-            plain = np.concatenate([[0.0], np.cumsum(np.nan_to_num(shared[cell], nan=-5.5), dtype=np.float64)])
+            plain = np.concatenate([[0.0], np.cumsum(np.nan_to_num(_long(shared[cell]), nan=-5.5), dtype=np.float64)])
             starts, ends, _ = spans(stream, np.array([0, len(stream)]), ALNUM)
             at = np.maximum(starts - RUN + 1, 0)
             usual = np.exp(np.clip(plain[np.minimum(ends - RUN + 2, len(runs))] - plain[np.minimum(at, len(runs))], -40, 0))
             word = _cell(hashes(stream, starts, ends), WORD_CELLS)
-            p = [np.maximum(counts[i][word] - DISCOUNT, 0) / seen[i] + left[i] * usual for i in (0, 1)]
-            often = counts[0][word] + counts[1][word].astype(np.float64)
+            n = [_long(c[word]).astype(np.float64) for c in counts]
+            p = [np.maximum(n[i] - DISCOUNT, 0) / seen[i] + left[i] * usual for i in (0, 1)]
+            often = n[0] + n[1]
             gain = (np.log(p[1]) - np.log(p[0])) * (often / (often + TRUST))
             total = np.concatenate([[0.0], np.cumsum(gain)])
             first = np.searchsorted(starts, a)
