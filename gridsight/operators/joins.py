@@ -5,33 +5,51 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-SALTS = 8
+#: A key is hot if it has more than one in so many of the rows; so there are fewer hot keys than this.
+HOT = 1000
+#: Groups over which rows that take no part in the shuffled join are spread.
+SPREAD = 1 << 20
 
 
-def salted_join(
-    rows: DataFrame,
-    keyed: DataFrame,
-    keys: list[str] | dict[str, str],
-    how: str,
-    spread: str | Column,
-    salts: int = SALTS,
-) -> DataFrame:
+def salted_join(rows: DataFrame, keyed: DataFrame, keys: list[str] | dict[str, str], how: str, spread: str | Column) -> DataFrame:
     """``rows`` joined to ``keyed`` on ``keys`` (a dict maps row column to key column).
 
-    One key may own a large share of ``rows``, so they are spread over ``salts`` partitions per
-    key by a hash of ``spread`` (a column that differs from row to row), and the key table,
-    which is small next to them, is repeated once per salt.  Rows whose key is NULL are spread
-    the same way.  There is no broadcast hint: Spark broadcasts the key table if it is below
-    the session's limit, and adaptive execution still splits what stays uneven.
+    Three kinds of rows, one shuffle of the rows:
+
+    * Hot keys are found by counting, summed up before the shuffle.  They are fewer than ``HOT``,
+      so their rows of the key table are broadcast, whatever its size.
+    * All other keys are small and meet their row of the key table in the shuffle.
+    * Rows with a NULL key and rows of hot keys have nothing to find there.  They carry a group
+      number from a hash of ``spread`` (a column that differs from row to row) as a further part
+      of the join key, so they spread over all partitions.
 
     Works for inner, left, left_semi and left_anti.  The key columns of ``keyed`` are dropped.
     """
     pairs = keys if isinstance(keys, dict) else {k: k for k in keys}
-    right = keyed.withColumnsRenamed({k: f"_key_{k}" for k in pairs.values()}).withColumn(
-        "_copy", F.explode(F.array(*[F.lit(i) for i in range(salts)]))
-    )
     column = F.col(spread) if isinstance(spread, str) else spread
-    left = rows.withColumn("_salt", F.pmod(F.xxhash64(column), F.lit(salts)).cast("int"))
-    same = [F.col(a) == F.col(f"_key_{b}") for a, b in pairs.items()]
-    joined = left.join(right, reduce(and_, same, F.col("_salt") == F.col("_copy")), how)
-    return joined.drop("_salt", "_copy", *[f"_key_{k}" for k in pairs.values()])
+    values = [c for c in keyed.columns if c not in pairs.values()] if how in ("inner", "left") else []
+    whole = reduce(and_, [F.col(a).isNotNull() for a in pairs])
+
+    def on(prefix: str) -> Column:
+        return reduce(and_, [F.col(a) == F.col(f"{prefix}{b}") for a, b in pairs.items()])
+
+    counts = rows.where(whole).groupBy(*pairs).agg(F.count(F.lit(1)).alias("_n")).withColumn("_one", F.lit(1))
+    total = counts.groupBy("_one").agg(F.sum("_n").alias("_all"))  # one row
+    often = counts.join(F.broadcast(total), "_one").where(F.col("_n") * HOT > F.col("_all"))
+    often = often.select(*[F.col(a).alias(f"_often_{b}") for a, b in pairs.items()])
+    known = keyed.select(*[F.col(c).alias(f"_cold_{c}") for c in [*pairs.values(), *values]], F.lit(True).alias("_cold"))
+    same = reduce(and_, [F.col(f"_often_{b}") == F.col(f"_cold_{b}") for b in pairs.values()])
+    hot = often.join(known, same, "left")  # a shuffle of few rows on the left
+    hot = hot.select(*[F.col(f"_often_{b}").alias(f"_hot_{b}") for b in pairs.values()], *[F.col(f"_cold_{c}").alias(f"_hot_{c}") for c in values],
+                     F.coalesce("_cold", F.lit(False)).alias("_hot"))
+
+    left = rows.join(F.broadcast(hot), on("_hot_"), "left")
+    aside = ~whole | F.col("_hot").isNotNull()
+    left = left.withColumn("_group", F.when(aside, F.pmod(F.xxhash64(column), F.lit(SPREAD)) + 1).otherwise(0))
+    joined = left.join(known.withColumn("_zero", F.lit(0).cast("bigint")), on("_cold_") & (F.col("_group") == F.col("_zero")), "left")
+    found = F.coalesce("_hot", "_cold", F.lit(False))
+    if how in ("inner", "left_semi"):
+        joined = joined.where(found)
+    elif how == "left_anti":
+        joined = joined.where(~found)
+    return joined.select(*rows.columns, *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in values])
