@@ -30,8 +30,9 @@ BORDER, COPIES = 1.05, 2
 SPREAD = 0.3
 #: How much farther than the nearest centroid a list may be that a query reads.
 RATIO = 1.15
-#: A list is compared in blocks of so many vectors and queries.
-VECTORS, QUERIES = 4096, 512
+#: Neighbouring lists are compared in one group, which hands on k rows of a query however many of
+#: its lists the query reads; a group is compared in blocks of so many vectors and queries.
+GROUPS, VECTORS, QUERIES = 16, 32_768, 512
 #: Rows searched at once.
 BATCH = 512
 
@@ -216,50 +217,79 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "
     sample = _lifted(_matrix(picked.column("v").combine_chunks(), dim), longest)
     lists = int(max(1, min(MOST_LISTS, n // LIST_ROWS, len(sample) // 4)))
     centroids = balanced_centroids(sample, lists, np.random.default_rng(7))
-    held = spark.sparkContext.broadcast((centroids, neighbour_graph(centroids)))
+    # groups of lists that follow each other along the direction in which centroids differ most
+    groups = min(GROUPS, lists)
+    along = np.linalg.svd(centroids - centroids.mean(axis=0), full_matrices=False)[2][0]
+    group_of = np.empty(len(centroids), np.int64)
+    group_of[np.argsort(centroids @ along, kind="stable")] = np.arange(len(centroids)) * groups // len(centroids)
+    held = spark.sparkContext.broadcast((centroids, neighbour_graph(centroids), group_of))
 
     def places(pool: int, reach: float, pick):
+        """A row for every group that a vector belongs to, with its lists there."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            centres, graph = held.value
+            centres, graph, group = held.value
             for batch in batches:
                 for at in range(0, len(batch), BATCH):
                     part = batch.slice(at, BATCH)
                     x = _lifted(_matrix(part.column(1), dim), longest)
                     rows, found = pick(*search(x, centres, graph, pool, reach), centres)
-                    rows = pa.array(rows)
-                    yield pa.record_batch([pa.array(found, pa.int32()), part.column(0).take(rows), part.column(1).take(rows)], ["list", "id", "v"])
+                    key = rows * len(centres) + group[found]
+                    order = np.argsort(key, kind="stable")
+                    key, first = np.unique(key[order], return_index=True)
+                    lists_ = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), pa.array(found[order], pa.int32()))
+                    rows = pa.array(key // len(centres))
+                    yield pa.record_batch([pa.array(key % len(centres), pa.int32()), part.column(0).take(rows), part.column(1).take(rows), lists_], ["group", "id", "v", "lists"])
         return run
 
     def probes(ids: np.ndarray, d: np.ndarray, _: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows, columns = np.nonzero(d <= RATIO * d[:, :1] + 1e-12)
         return rows, ids[rows, columns]
 
-    schema = f"list int, {kind}"
+    schema = f"group int, {kind}, lists array<int>"
     indexed = stored(base.mapInArrow(places(POOL, np.inf, _homes), schema), "posting_lists")
     wanted = stored(asked.mapInArrow(places(QUERY_POOL, RATIO, probes), schema), "probes")
 
-    # at most MOST_LISTS rows
-    blocks = indexed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / VECTORS).cast("int").alias("nv")).join(
-        wanted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("nq")), "list")
+    # at most GROUPS rows
+    blocks = indexed.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / VECTORS).cast("int").alias("nv")).join(
+        wanted.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("nq")), "group")
     blocks = F.broadcast(stored(blocks, "blocks"))
 
     def dealt(rows: DataFrame, own: str, own_count: str, other_: str, other_count: str) -> DataFrame:
-        return rows.join(blocks, "list").select(
-            "list", F.pmod(F.xxhash64("id"), F.col(own_count)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.col(other_count) - 1)).alias(other_), "id", "v")
+        return rows.join(blocks, "group").select(
+            "group", F.pmod(F.xxhash64("id"), F.col(own_count)).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.col(other_count) - 1)).alias(other_), "id", "v", "lists")
+
+    def by_list(t: pa.Table) -> dict[int, np.ndarray]:
+        column = t.column("lists").combine_chunks()
+        size = np.diff(column.offsets.to_numpy())
+        flat, rows = column.flatten().to_numpy(), np.repeat(np.arange(len(size)), size)
+        order = np.argsort(flat, kind="stable")
+        names, first = np.unique(flat[order], return_index=True)
+        return dict(zip(names.tolist(), np.split(rows[order], first[1:])))
 
     def compare(_, ours: pa.Table, theirs: pa.Table) -> pa.Table:
         ids, qids = ours.column("id").to_numpy(), theirs.column("id").to_numpy()
-        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
+        best: tuple = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         if len(ids) and len(qids):
             v, q = (_matrix(t.column("v").combine_chunks(), dim) for t in (ours, theirs))
-            for i in range(0, len(qids), 256):
-                some = q[i : i + 256]
-                r, c, score = top(some @ v.T, some, v, qids[i : i + 256, None] == ids[None, :], ids, k)
-                out = [[*a, b] for a, b in zip(out, (qids[i + r], ids[c], score))]
-        return pa.table([np.concatenate(c) for c in out], ["query_id", "vec_id", "score"])
-
-    keys = ["list", "a", "b"]
+            asking = by_list(theirs)
+            parts = [best]
+            for name, rows in by_list(ours).items():
+                some = asking.get(name)
+                if some is not None:
+                    r, c, score = top(q[some] @ v[rows].T, q[some], v[rows], qids[some, None] == ids[rows][None, :], ids[rows], k)
+                    parts.append((qids[some[r]], ids[rows[c]], score))
+            a, b, score = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((b, -score, a))
+            a, b, score = a[order], b[order], score[order]
+            once = np.ones(len(a), bool)  # copies of a vector score alike and stand together
+            once[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            a, b, score = a[once], b[once], score[once]
+            first = np.arange(len(a)) - np.searchsorted(a, a) < k
+            best = a[first], b[first], score[first]
+        return pa.table(list(best), ["query_id", "vec_id", "score"])
+
+    keys = ["group", "a", "b"]
     found = dealt(indexed, "a", "nv", "b", "nq").groupBy(*keys).cogroup(dealt(wanted, "b", "nq", "a", "nv").groupBy(*keys)).applyInArrow(
         compare, "query_id bigint, vec_id bigint, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
