@@ -1,11 +1,12 @@
 """The registered queries of this subpackage: one per operator, over its whole table."""
 
-from . import ann, bpe, decontaminate, html_text, jaccard, pii, sharding, toxicity
+from . import ann, bpe, decontaminate, html_text, jaccard, language, pii, sharding, toxicity
 
 QUERIES = {
     "op1_nearest_neighbours": ann.op1,
     "op2_toxicity": toxicity.op2,
     "op3_byte_level_bpe": bpe.op3,
+    "op4_language_id": language.op4,
     "op5_personal_data": pii.op5,
     "op6_benchmark_decontamination": decontaminate.op6,
     "op7_html_extraction": html_text.op7,
