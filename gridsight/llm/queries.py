@@ -1,6 +1,6 @@
 """The registered queries of this subpackage: one per operator, over its whole table."""
 
-from . import ann, bpe, decontaminate, html_text, jaccard, language, pii, sharding, toxicity
+from . import ann, bpe, decontaminate, html_text, jaccard, language, licences, pii, sharding, toxicity
 
 QUERIES = {
     "op1_nearest_neighbours": ann.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_benchmark_decontamination": decontaminate.op6,
     "op7_html_extraction": html_text.op7,
     "op8_ngram_jaccard_join": jaccard.op8,
+    "op9_licence_scan": licences.op9,
     "op10_sharding": sharding.op10,
 }
 #: SQL counterparts; the operators without one are tested against a brute-force version.
