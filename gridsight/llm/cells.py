@@ -62,3 +62,36 @@ def bit_map(rows: DataFrame, number: Column, bits: int) -> np.ndarray:
 
 def has_bit(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+#: Bits of the filter by which most rows pass without a join (2 MB).
+PASS_BITS = 1 << 24
+
+
+def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id", once: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is none of ``ids``; of the keys in ``once``, one row each.
+
+    A row whose bit is not set is in neither list and goes straight through.  Only the others,
+    which are about as many as are named, are joined, so texts that stay are not shuffled.
+    """
+    context = docs.sparkSession.sparkContext
+    named = ids.select(F.col(ids.columns[0]).alias("_id")).where("_id is not null")
+    single = (once.select(F.col(once.columns[0]).alias("_id")) if once is not None else named.limit(0)).where("_id is not null")
+    kept = context.broadcast(bit_map(named.union(single), F.xxhash64("_id"), PASS_BITS))
+
+    def part(known: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hit = has_bit(kept.value, batch.column(0).to_numpy(zero_copy_only=False))
+                rows = batch.filter(pa.array(hit == known))
+                yield pa.record_batch(rows.columns[1:], rows.schema.names[1:])
+        return run
+
+    marked = docs.select(F.pmod(F.xxhash64(key), F.lit(PASS_BITS)).alias("_bit"), *docs.columns)
+    sure = marked.mapInArrow(part(False), docs.schema)
+    unsure = marked.mapInArrow(part(True), docs.schema).join(named.distinct(), F.col(key) == F.col("_id"), "left_anti")
+    if once is None:
+        return sure.union(unsure)
+    flagged = unsure.join(single.distinct(), F.col(key) == F.col("_id"), "left")
+    repeated = flagged.where("_id is not null").dropDuplicates([key])
+    return sure.union(flagged.where("_id is null").select(*docs.columns)).union(repeated.select(*docs.columns))
