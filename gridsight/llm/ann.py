@@ -61,6 +61,11 @@ def _lifted(x: np.ndarray, longest: float) -> np.ndarray:
     return np.column_stack([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))])
 
 
+def _asked(x: np.ndarray) -> np.ndarray:
+    """Queries have nothing to add: of length 1, with an additional component of 0."""
+    return np.column_stack([x / np.sqrt((x * x).sum(axis=1, keepdims=True)), np.zeros(len(x))])
+
+
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum(0, (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :] - 2 * x @ y.T)
 
@@ -224,14 +229,14 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "
     group_of[np.argsort(centroids @ along, kind="stable")] = np.arange(len(centroids)) * groups // len(centroids)
     held = spark.sparkContext.broadcast((centroids, neighbour_graph(centroids), group_of))
 
-    def places(pool: int, reach: float, pick):
+    def places(lift, pool: int, reach: float, pick):
         """A row for every group that a vector belongs to, with its lists there."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             centres, graph, group = held.value
             for batch in batches:
                 for at in range(0, len(batch), BATCH):
                     part = batch.slice(at, BATCH)
-                    x = _lifted(_matrix(part.column(1), dim), longest)
+                    x = lift(_matrix(part.column(1), dim))
                     rows, found = pick(*search(x, centres, graph, pool, reach), centres)
                     key = rows * len(centres) + group[found]
                     order = np.argsort(key, kind="stable")
@@ -246,8 +251,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "
         return rows, ids[rows, columns]
 
     schema = f"group int, {kind}, lists array<int>"
-    indexed = stored(base.mapInArrow(places(POOL, np.inf, _homes), schema), "posting_lists")
-    wanted = stored(asked.mapInArrow(places(QUERY_POOL, RATIO, probes), schema), "probes")
+    indexed = stored(base.mapInArrow(places(lambda x: _lifted(x, longest), POOL, np.inf, _homes), schema), "posting_lists")
+    wanted = stored(asked.mapInArrow(places(_asked, QUERY_POOL, RATIO, probes), schema), "probes")
 
     # at most GROUPS rows
     blocks = indexed.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / VECTORS).cast("int").alias("nv")).join(
