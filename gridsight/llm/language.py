@@ -53,7 +53,7 @@ def run_tables(docs: DataFrame, names: list[str], lang: str = "lang", text: str
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width, np.int64)
         for rows, data, begin in blocks(batches, "text"):
-            stream, a, b = _stream(data, begin)
+            stream, _, a, b = _stream(data, begin)
             runs = _runs(stream)
             which = np.repeat(rows.column(1).to_numpy(zero_copy_only=False).astype(np.int64), b - a)
             np.add.at(total, which * CELLS + _cell(runs[_within(a, b, len(runs))], CELLS), 1)
@@ -76,7 +76,7 @@ def text_evidence(pages: DataFrame, tables: np.ndarray, names: list[str]) -> Dat
             bodies = pa.array([main_text(x) for x in batch.column(0).to_pylist()], pa.string())
             whole = pa.record_batch([bodies, *batch.columns[1:]], batch.schema.names)
             for rows, data, begin in blocks(iter([whole]), "html"):
-                stream, a, b = _stream(data, begin)
+                stream, _, a, b = _stream(data, begin)
                 cell = _cell(_runs(stream), CELLS)
                 out = np.zeros((len(rows), len(names)))
                 for i in range(len(names)):

@@ -57,9 +57,9 @@ def _long(x: np.ndarray) -> np.ndarray:
     return (x.astype(np.uint32) << np.uint32(16)).view(np.float32)
 
 
-def _stream(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _stream(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words with one blank between them, a blank before and after every text; for every text,
-    where its runs begin and end in the list of all runs."""
+    where it begins, and where its runs begin and end in the list of all runs."""
     inside = ALNUM[data]
     keep = inside.copy()
     keep[1:] |= inside[:-1]
@@ -74,8 +74,10 @@ def _stream(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray
     out = np.insert(out, last[bare], 32)
     ends = ends + np.concatenate([[0], np.cumsum(bare)])
     out = np.concatenate([[np.uint8(32)], out])
-    a, b = ends[:-1], ends[1:] + 1 - RUN + 1  # from the blank before the text to its last full run
-    return out, a, np.maximum(a, np.where(ends[1:] > ends[:-1], b, a))
+    runs = max(0, len(out) - RUN + 1)
+    first, last = ends[:-1], ends[1:] + 1 - RUN + 1  # from the blank before the text to its last full run
+    last = np.maximum(first, np.where(ends[1:] > ends[:-1], last, first))
+    return out, first, np.minimum(first, runs), np.minimum(last, runs)
 
 
 def _runs(stream: np.ndarray) -> np.ndarray:
@@ -110,7 +112,7 @@ def run_counts(labelled: DataFrame) -> DataFrame:
 
         parts: list = []
         for rows, data, begin in blocks(batches, "text"):
-            stream, a, b = _stream(data, begin)
+            stream, _, a, b = _stream(data, begin)
             runs = _runs(stream)
             toxic = np.repeat(rows.column(1).to_numpy(zero_copy_only=False), b - a).astype(np.int64)
             found = runs[_within(a, b, len(runs))]
@@ -211,7 +213,7 @@ def features(docs: DataFrame, runs_of: tuple[np.ndarray, ...], words_of: tuple[n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (known, unknown, shared), counts = kept.value
         for rows, data, begin in blocks(batches, "text"):
-            stream, a, b = _stream(data, begin)
+            stream, at, a, b = _stream(data, begin)
             runs = _runs(stream)
             cell = _cell(runs, RUN_CELLS)
             ratio = _long(known[cell])
@@ -223,16 +225,16 @@ def features(docs: DataFrame, runs_of: tuple[np.ndarray, ...], words_of: tuple[n
             # a word's bytes under the shared model: the runs that end within it or just behind it
             plain = np.concatenate([[0.0], np.cumsum(np.nan_to_num(_long(shared[cell]), nan=-5.5), dtype=np.float64)])
             starts, ends, _ = spans(stream, np.array([0, len(stream)]), ALNUM)
-            at = np.maximum(starts - RUN + 1, 0)
-            usual = np.exp(np.clip(plain[np.minimum(ends - RUN + 2, len(runs))] - plain[np.minimum(at, len(runs))], -40, 0))
+            here, there = np.clip(starts - RUN + 1, 0, len(runs)), np.clip(ends - RUN + 2, 0, len(runs))
+            usual = np.exp(np.clip(plain[there] - plain[here], -40, 0))
             word = _cell(hashes(stream, starts, ends), WORD_CELLS)
             n = [_long(c[word]).astype(np.float64) for c in counts]
             p = [np.maximum(n[i] - DISCOUNT, 0) / seen[i] + left[i] * usual for i in (0, 1)]
             often = n[0] + n[1]
             gain = (np.log(p[1]) - np.log(p[0])) * (often / (often + TRUST))
             total = np.concatenate([[0.0], np.cumsum(gain)])
-            first = np.searchsorted(starts, a)
-            last = np.searchsorted(starts, np.append(a[1:], len(stream)))
+            first = np.searchsorted(starts, at)
+            last = np.searchsorted(starts, np.append(at[1:], len(stream)))
             columns += [(total[last] - total[first]) / np.maximum(last - first, 1), *[_best(total, first, last, m) for m in WORD_PASSAGES]]
             yield pa.record_batch([rows.column(0), *[pa.array(c) for c in columns]], ["doc_id", *FEATURES])
 
