@@ -37,8 +37,13 @@ def query(name: str, sql: str | None = None):
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder for a write: on the cluster's shared storage if it names one."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
+    """A new folder for a write: on the shared storage that the cluster names in
+    ``spark.checkpoint.dir``.  Only a local session may leave that out."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="run-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

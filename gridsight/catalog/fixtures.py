@@ -12,14 +12,13 @@ from gridsight.operators.location import enrich_location
 from gridsight.operators.star import company_candidates, fact_rows, location_candidates
 from gridsight.plans.cleaning_run import clean
 from gridsight.plans.marts import staging
-from gridsight.sources.spread import spread_if_few
 
 AS_OF = "2025-06-30"
 AS_OF_YEAR = 2025
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread_if_few(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,7 +87,9 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
 
     Plans over it know its true size, prune its columns and push filters into its scan.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    # a source whose files change gets a new copy
+    files = hash(tuple(sorted(dimension(spark, sf_dir, "lineitem").select("l_orderkey").inputFiles())))
+    key = (spark.sparkContext.applicationId, sf_dir, f"{name}-{files}")
     if key not in _STORED:
         path = scratch(spark, name)
         build().write.parquet(path)

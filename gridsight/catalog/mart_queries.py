@@ -113,7 +113,7 @@ def _(spark, sf):
 @query("jn06_city_temperature", with_ctes(
     "SELECT pue_id, city, d_temp::DOUBLE AS avg_temp_celsius FROM stg LEFT JOIN city_dim ON city = d_city", "stg", "city_dim"))
 def _(spark, sf):
-    seed = F.broadcast(lookups.city_temperatures(spark).select("city", "avg_temp_celsius"))
+    seed = lookups.city_temperatures(spark).select("city", "avg_temp_celsius")
     return X.staged(spark, sf).select("pue_id", "city").join(seed, "city", "left")
 
 
@@ -188,8 +188,9 @@ def _(spark, sf):
 
 @query("agg10_distinct_counts", with_ctes("SELECT count(DISTINCT company) AS companies, count(DISTINCT id) AS ids, count(DISTINCT city) AS cities FROM raw_pue", "raw_pue"))
 def _(spark, sf):
-    return X.raw_pue(spark, sf).agg(
-        F.count_distinct("company").alias("companies"), F.count_distinct("id").alias("ids"), F.count_distinct("city").alias("cities"))
+    rows, one = X.raw_pue(spark, sf), F.lit(1).alias("_one")
+    companies, ids, cities = (rows.agg(F.count_distinct(c).alias(n)).select(one, n) for c, n in (("company", "companies"), ("id", "ids"), ("city", "cities")))
+    return companies.join(ids, "_one").join(cities, "_one").drop("_one")
 
 
 @query("agg11_option_lists", with_ctes(" UNION ALL ".join(

@@ -1,7 +1,7 @@
 """Sources, projections and filters."""
 
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from gridsight import fixed_values as V
 from gridsight import schemas
@@ -40,8 +40,9 @@ def _(spark, sf):
     """Every written partition becomes a file with one array."""
     path = scratch(spark, "arrays")
     X.raw_pue(spark, sf).select(F.to_json(F.struct("*")).alias("value")).mapInPandas(_as_array, "value string").write.text(path)
-    found, _skipped = readers.read_records_json(spark, path, schemas.RAW, glob="*.txt")
-    return found.drop("file", "avg_temp_celsius", "country_code")
+    unchecked = T.StructType([T.StructField("id", T.StringType())] + schemas.UNCHECKED.fields)
+    found, _skipped = readers.read_records_json(spark, path, unchecked, glob="*.txt")
+    return cleaning.normalize_schema(found, extra=("id",))
 
 
 @query("src02_clean_csv_scan", with_ctes(f"SELECT id, {_CSV_RECORD} FROM raw_pue", "raw_pue"))

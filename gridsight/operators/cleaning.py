@@ -12,14 +12,32 @@ from gridsight.functions.text import lookup
 from gridsight.operators.joins import salted_join
 
 
-def normalize_schema(df: DataFrame, schema: T.StructType = schemas.RECORD, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Project onto the fixed columns; a column that is missing becomes NULL."""
+def typed(col: Column, kind: T.DataType) -> Column:
+    """A value as the storage type: rounded, cut to a whole number, or NULL if it does not fit."""
+    if isinstance(kind, T.IntegerType):
+        return col.try_cast("double").try_cast(kind)
+    return col.try_cast(kind)
+
+
+def normalize_schema(df: DataFrame, schema: T.StructType = schemas.RECORD, extra: tuple[str, ...] = (), keep_numbers: bool = False) -> DataFrame:
+    """Project onto the fixed columns; a column that is missing, and a cell that does not fit its
+    type, becomes NULL.  With ``keep_numbers`` the numeric columns stay as they came, for checks
+    that must see what was there."""
     def column(f: T.StructField) -> Column:
-        return (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        if f.name not in df.columns:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        same = df.schema[f.name].dataType == f.dataType or keep_numbers and isinstance(f.dataType, T.NumericType)
+        return F.col(f.name) if same else typed(F.col(f.name), f.dataType).alias(f.name)
 
     return df.select(*[e for e in extra if e in df.columns], *[column(f) for f in schema.fields])
 
 
+def with_storage_types(df: DataFrame, schema: T.StructType = schemas.RECORD) -> DataFrame:
+    """The columns of the schema in their storage types; others as they are."""
+    wanted = {f.name: f.dataType for f in schema.fields if f.name in df.columns and df.schema[f.name].dataType != f.dataType}
+    return df.withColumns({c: typed(F.col(c), t) for c, t in wanted.items()}) if wanted else df
+
+
 def keep_allowed(df: DataFrame, allowed: list[str]) -> DataFrame:
     """Columns of the allow-list that exist, in its order."""
     return df.select([c for c in allowed if c in df.columns])
@@ -50,12 +68,16 @@ def backfill_tier(df: DataFrame, registry: DataFrame, spread: str | None = None)
 
 
 def fill_missing_pue(df: DataFrame) -> DataFrame:
-    """A missing PUE becomes the default of the tier and the row is marked as an estimate."""
-    missing = F.col("pue_value").isNull()
+    """A missing PUE becomes the default of the tier and the row is marked as an estimate.
+
+    Only an absent value is missing; one that is no number stays, and validation rejects it.
+    """
+    missing, kind = F.col("pue_value").isNull(), df.schema["pue_value"].dataType
+    decimal = isinstance(kind, T.DecimalType)
     default = lookup(F.col("tier"), {k: Decimal(v) for k, v in V.TIER_DEFAULT_PUE.items()}, dec(V.FALLBACK_PUE))
     return df.withColumns(
         {
-            "pue_value": F.coalesce("pue_value", default.cast("decimal(5,3)")),
+            "pue_value": F.coalesce("pue_value", default.cast("decimal(5,3)") if decimal else default.cast("decimal(5,3)").cast(kind)),
             "pue_type": F.when(missing, "estimated").otherwise(F.col("pue_type")),
             "source_type": F.when(missing, "benchmark").otherwise(F.col("source_type")),
         }

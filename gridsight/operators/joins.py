@@ -46,7 +46,9 @@ def salted_join(rows: DataFrame, keyed: DataFrame, keys: list[str] | dict[str, s
     left = rows.join(F.broadcast(hot), on("_hot_"), "left")
     aside = ~whole | F.col("_hot").isNotNull()
     left = left.withColumn("_group", F.when(aside, F.pmod(F.xxhash64(column), F.lit(SPREAD)) + 1).otherwise(0))
-    joined = left.join(known.withColumn("_zero", F.lit(0).cast("bigint")), on("_cold_") & (F.col("_group") == F.col("_zero")), "left")
+    # always 0, but no constant: the optimizer would take a constant out of the join key
+    zero = F.pmod(F.xxhash64(*[f"_cold_{b}" for b in pairs.values()]), F.lit(1))
+    joined = left.join(known.withColumn("_zero", zero), on("_cold_") & (F.col("_group") == F.col("_zero")), "left")
     found = F.coalesce("_hot", "_cold", F.lit(False))
     if how in ("inner", "left_semi"):
         joined = joined.where(found)

@@ -11,7 +11,8 @@ from gridsight.operators.joins import salted_join
 
 
 def _number(col: Column) -> Column:
-    return col.try_cast("decimal(20,4)")
+    """The whole value, no digit cut off; NULL for what is no number."""
+    return col.try_cast("double")
 
 
 def valid_pue(col: Column) -> Column:

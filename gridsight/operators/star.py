@@ -11,10 +11,12 @@ from gridsight.operators.quality import split_by_constraints
 def key_of(*parts: str | Column) -> Column:
     """Key computed from the natural key: the same on every run and on every executor.
 
-    A missing part counts as the empty string.
+    A missing part counts as the empty string; a bar within a part is escaped.
     """
-    cols = [F.col(p) if isinstance(p, str) else p for p in parts]
-    return F.sha2(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in cols]), 256)
+    cols = [F.coalesce(F.col(p) if isinstance(p, str) else p, F.lit("")) for p in parts]
+    if len(cols) > 1:
+        cols = [F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")) for c in cols]
+    return F.sha2(F.concat_ws("|", *cols), 256)
 
 
 def company_candidates(df: DataFrame, seq: str = "id") -> DataFrame:
@@ -26,9 +28,10 @@ def company_candidates(df: DataFrame, seq: str = "id") -> DataFrame:
 
 
 def location_candidates(df: DataFrame, seq: str = "id") -> DataFrame:
-    """First row of every (city, country) with a city."""
+    """First row of every (city, country) with a city; no country and an empty one are the same place."""
     placed = df.dropna(subset=["city"]).filter("city <> ''")
     placed = placed.select(seq, "city", "country", "country_code", "region", "avg_temp_celsius")
+    placed = placed.withColumn("country", F.nullif("country", F.lit("")))
     return first_in_input_order(placed, ["city", "country"], seq).select(
         key_of("city", "country").alias("location_id"),
         "city", "country", "country_code", "region", "avg_temp_celsius",
@@ -45,9 +48,10 @@ def upserted(candidates: DataFrame, existing: DataFrame, key: str) -> DataFrame:
 
 
 def fact_rows(df: DataFrame, dim_company: DataFrame, dim_location: DataFrame, seq: str = "id") -> tuple[DataFrame, DataFrame]:
-    """Accepted facts and rejected rows.
+    """Accepted facts and rejected rows with their reasons.
 
-    Rows of unknown companies are dropped; an unknown place leaves the location key NULL.
+    A row whose company is not in the dimension is rejected as ``unknown_company``; an unknown
+    place leaves the location key NULL.
     Both joins only look up keys and are salted, so large companies and places stay spread.
     """
     good, rejected = split_by_constraints(df)
@@ -56,7 +60,9 @@ def fact_rows(df: DataFrame, dim_company: DataFrame, dim_location: DataFrame, se
     keyed = good.withColumns(
         {"company_id": key_of("company"), "_place_key": F.when(has_city, key_of("city", "country"))}
     )
-    keyed = salted_join(keyed, dim_company.select("company_id"), ["company_id"], "left_semi", seq)
+    known = dim_company.select("company_id")
+    unknown = salted_join(keyed, known, ["company_id"], "left_anti", seq).select(*good.columns)
+    keyed = salted_join(keyed, known, ["company_id"], "left_semi", seq)
     located = salted_join(keyed, places, {"_place_key": "_place"}, "left", seq)
     facts = located.select(
         F.sha2(F.col(seq), 256).alias("fact_id"),
@@ -78,7 +84,8 @@ def fact_rows(df: DataFrame, dim_company: DataFrame, dim_location: DataFrame, se
         "source_type",
         "extraction_date",
     )
-    return facts, rejected
+    reasons = F.array(F.lit("unknown_company"))
+    return facts, rejected.unionByName(unknown.withColumn("reasons", reasons), allowMissingColumns=True)
 
 
 def with_audit(df: DataFrame, at: str) -> DataFrame:

@@ -170,12 +170,10 @@ def scenario_results(scenarios: DataFrame) -> DataFrame:
 
 
 def facility_scenarios(facilities: DataFrame, targets: list[str], tariff: str = "7.0") -> DataFrame:
-    """Every facility under every target PUE of a short list (at most 100).
+    """Every facility under every target PUE of a list.
 
     The list is a literal array that is exploded in place, so nothing is joined or shuffled.
     """
-    if len(targets) > 100:
-        raise ValueError("a scenario list has at most 100 targets")
     options_ = F.array(*[dec(t).cast("decimal(5,3)") for t in targets])
     rows = facilities.filter(F.col("capacity_mw").isNotNull()).select(
         "*", F.explode(options_).alias("target_pue"), dec(tariff).cast("decimal(6,2)").alias("tariff")

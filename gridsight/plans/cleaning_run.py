@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gridsight.functions.metrics import with_derived_metrics
 from gridsight.functions.numbers import mean_half_up
-from gridsight.operators.cleaning import backfill_tier, fill_missing_pue, in_tier, normalize_schema
+from gridsight.operators.cleaning import backfill_tier, fill_missing_pue, in_tier, nan_cells_to_null, normalize_schema, with_storage_types
 from gridsight.operators.dedup import keep_best_quality
 from gridsight.operators.location import enrich_location
 from gridsight.operators.quality import valid_rows
@@ -13,12 +13,15 @@ from gridsight.operators.quality import valid_rows
 def clean(records: DataFrame, registry: DataFrame, as_of_year: int, seq: str = "id") -> DataFrame:
     """Normalise, enrich, impute, validate, keep the best row per facility, derive.
 
+    Rows are checked on the values as they came and only then rounded to their storage types: a
+    PUE of 3.0004 or "n/a" is rejected, not stored as 3.000 or estimated.
+
     Everything before the choice of the best row is row by row; that choice is the only
     shuffle of whole rows.
     """
-    rows = normalize_schema(records, extra=(seq,))
+    rows = nan_cells_to_null(normalize_schema(records, extra=(seq,), keep_numbers=True))
     rows = backfill_tier(enrich_location(rows), registry, seq)
-    rows = valid_rows(fill_missing_pue(rows), as_of_year)
+    rows = with_storage_types(valid_rows(fill_missing_pue(rows), as_of_year))
     return with_derived_metrics(keep_best_quality(rows, seq=seq))
 
 

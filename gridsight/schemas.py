@@ -30,6 +30,9 @@ RECORD = _struct(
         "tier": _TEXT,
     }
 )
+# the same as files hold them: numbers as text, so that nothing is lost before it is checked
+UNCHECKED = T.StructType([T.StructField(f.name, _TEXT if f.name in (
+    "year", "pue_value", "capacity_mw", "rack_count", "renewable_pct", "wue_l_per_kwh") else f.dataType) for f in RECORD.fields])
 # plus the two columns location enrichment fills
 ENRICHED = T.StructType(
     RECORD.fields + _struct({"avg_temp_celsius": T.DecimalType(5, 2), "country_code": _TEXT}).fields
