@@ -42,22 +42,8 @@ TIER_2 = "Tier 2 - Indian Operator"
 TIER_3 = "Tier 3 - Global Colocation"
 TIER_DEFAULT_PUE = {TIER_1: "1.15", TIER_2: "1.45", TIER_3: "1.35"}
 FALLBACK_PUE = "1.50"
-KIND_DEFAULT_PUE = {
-    "Enterprise": "1.58",
-    "India Colocation": "1.45",
-    "Global Colocation": "1.35",
-    "Hyperscaler": "1.15",
-}
-
-# --- emission factors (kg CO2 per kWh) and tariffs (INR per kWh) -----------
+# --- emission factors (kg CO2 per kWh) -----------
 EMISSION_FACTORS = {"India": "0.82", "US": "0.42", "EU": "0.30", "Global": "0.47", "Singapore": "0.41"}
-TARIFFS = {
-    "India_Industrial": "7.0",
-    "India_Commercial": "8.5",
-    "US_Commercial": "10.0",
-    "EU_Commercial": "12.0",
-}
-
 # --- places ----------------------------------------------------------------
 # city: (country, region, mean yearly temperature in Celsius); None = not known
 CITIES = {
