@@ -18,7 +18,10 @@ AS_OF_YEAR = 2025
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table as it is scanned.  ``spark.gridsight.inputPartitions`` deals it out to so many
+    partitions: for small files that cannot be split; a large table does without."""
+    rows, parts = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"), spark.conf.get("spark.gridsight.inputPartitions", None)
+    return rows.repartition(int(parts)) if parts else rows
 
 
 def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
