@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .shared import table
 
 #: Bytes of text encoded at once, and words and bytes contracted by one query.
-BLOCK, WORDS, WORD_BYTES = 4 << 20, 60_000, 1 << 20
+BLOCK, WORDS, WORD_BYTES = 2 << 20, 60_000, 1 << 20
 #: Words that a worker remembers between blocks.
 MEMORY = 400_000
 #: Parts of words above this length are contracted by the same rule with a heap: a recursive
@@ -78,7 +78,7 @@ class Codec:
             if len(t) > 1:
                 x = np.frombuffer(t, np.uint8)
                 self.joined[x[:-1], x[1:]] = True
-        self.sql = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.sql = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         self._table("merges", a=merges[0], b=merges[1], r=merges[2])
         self._table("vocabulary", t=np.arange(len(tokens), dtype=np.int32), piece=[t.decode("latin-1") for t in tokens])
 
@@ -236,13 +236,25 @@ def decode(rows: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_id
     return known.mapInArrow(run, f"doc_id {known.schema['doc_id'].dataType.simpleString()}, ids binary, data binary")
 
 
-def tokenized(docs: DataFrame, vocabulary: str, pattern: str, **names: str) -> DataFrame:
+def tokenized(docs: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, and digests of the ids and of the bytes decoded from them."""
-    both = decode(encode(docs, vocabulary, pattern, **names), vocabulary, pattern)
-    return both.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"),
-    )
+    setup = _setup(docs.sparkSession, vocabulary, pattern)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(setup.value)
+        for part in _slices(batches, 1):
+            ids = codec.encode(part.column(1).to_pylist())
+            data = codec.decode(ids)
+            yield pa.record_batch(
+                [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                 pa.array([hashlib.sha256(x).hexdigest() for x in ids]), pa.array([hashlib.sha256(x).hexdigest() for x in data])],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            pa.default_memory_pool().release_unused()
+
+    # one step for both ways: two would keep two codecs per task
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
