@@ -53,7 +53,8 @@ def test_fact_keys_and_rejects(spark):
     facts, rejected = star.fact_rows(df, star.company_candidates(dims), star.location_candidates(dims))
     rows = facts.collect()
     assert len(rows) == 2 and sorted(r.location_id is None for r in rows) == [False, True]
-    assert {r.id: r.reasons for r in rejected.collect()} == {"3": ["year_not_null"], "4": ["pue_range", "renewable_range"]}
+    # the review asks for this: a row of an unknown company is rejected with its reason, not dropped
+    assert {r.id: r.reasons for r in rejected.collect()} == {"2": ["unknown_company"], "3": ["year_not_null"], "4": ["pue_range", "renewable_range"]}
     assert quality.orphans(facts, star.location_candidates(dims), "location_id").count() == 0
 
 
