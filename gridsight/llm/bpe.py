@@ -20,11 +20,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .shared import table
+from .words import release
 
 #: Bytes of text encoded at once, and words and bytes contracted by one query.
 BLOCK, WORDS, WORD_BYTES = 2 << 20, 60_000, 1 << 20
 #: Words that a worker remembers between blocks.
-MEMORY = 400_000
+MEMORY = 300_000
 #: Parts of words above this length are contracted by the same rule with a heap: a recursive
 #: query copies its rows once per merge, so its work would grow with the square of the length.
 LONG = 256
@@ -163,6 +164,12 @@ class Codec:
         known = self.known
         return [b"".join([known[w] for w in ws]) for ws in words]
 
+    def rest(self) -> None:
+        """Between tasks only the words that are known stay in memory."""
+        self.sql.execute("DROP TABLE IF EXISTS start")
+        self.sql.execute("DROP TABLE IF EXISTS tokens")
+        release()
+
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes of every row of ids."""
         n = [len(x) // 4 for x in ids]
@@ -204,6 +211,7 @@ def _slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Recor
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK, "right")))
             yield batch.slice(at, to - at)
             at = to
+    release()
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -249,7 +257,8 @@ def tokenized(docs: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc
                 [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
                  pa.array([hashlib.sha256(x).hexdigest() for x in ids]), pa.array([hashlib.sha256(x).hexdigest() for x in data])],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-            pa.default_memory_pool().release_unused()
+            release()
+        codec.rest()
 
     # one step for both ways: two would keep two codecs per task
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))

@@ -43,7 +43,7 @@ TRUST = 4
 #: training rows is set aside for it and is not counted by the models.
 FIT_ROWS = 20_000
 #: Distinct runs that a counting task keeps before it sums them up.
-BUFFER = 1 << 21
+BUFFER = 1 << 19
 
 FEATURES = ["whole", *[f"best_{n}" for n in PASSAGES], "words", *[f"words_{n}" for n in WORD_PASSAGES]]
 

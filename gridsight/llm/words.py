@@ -4,6 +4,8 @@ All hashing is modulo 2**64.  The hash of bytes b[0..n) is sum(b[i] * B**i), rea
 sum; B is odd, so a division by B**start is a multiplication by the inverse.
 """
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,6 +58,14 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[begin[0] : begin[-1]], begin - begin[0]
 
 
+def release() -> None:
+    """Give memory that a task no longer needs back to the system: a worker process lives on,
+    and several operators run in it one after the other."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], text: str, size: int = BLOCK) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of about ``size`` bytes of text: rows, their lower-case bytes, where each text begins."""
     for batch in batches:
@@ -69,6 +79,7 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, size: int = BLOCK) -> I
             data, begin = flat(rows.column(rows.schema.get_field_index(text)))
             yield rows, _LOWER[data], begin
             at = to
+    release()
 
 
 def spans(data: np.ndarray, begin: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
