@@ -9,28 +9,37 @@ Words likewise have counts per class and fall back on the shared probability of
 
     p(w | class) = max(n - D, 0) / n + D * kinds / n * product of p(b | ctx) of its bytes
 
+The counts are Parquet tables with one row per run, context and word (words by a 64-bit hash), so
+they grow with the corpus and nothing shares a count.  Texts are put in blocks; each block asks for
+its distinct runs, contexts and words by a join.  A key has at most about one row per block, so no
+key is hot.
+
 A text's evidence is the difference of its two log-likelihoods per byte (per word), over the whole
 text and over its most toxic passages of a few fixed lengths, so that one insult in a long text counts.
 A logistic curve fitted on labelled rows turns that into a score.  Counts come from all labelled
 rows; no label, language, source or id is an input of a score.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from .cells import SCHEMA, bit_map, has_bit, packed, summed
+from .cells import bit_map, has_bit
 from .shared import stored, table
 from .words import ALNUM, blocks, hashes, mix, spans
 
 RUN = 5
 DISCOUNT = 0.75
-#: Cells of the score tables that scoring tasks hold (two of 8 MB, one of 2 MB), whatever the corpus.
-RUN_CELLS, CONTEXT_CELLS = 1 << 22, 1 << 20
-#: Cells of the word counts (two tables of 8 MB).
-WORD_CELLS = 1 << 22
+#: Bytes of text that are scored together and share one copy of what they ask for.
+TEXTS = 1 << 24
+#: What is asked for.
+RUNS, CONTEXTS, WORDS = 0, 1, 2
+#: log p of a run that is in no labelled text.
+RARE = -5.5
 #: Bits of the filter that finds labelled documents (2 MB).
 ID_BITS = 1 << 24
 #: Lengths in bytes of the passages that are looked at besides the whole text.
@@ -102,31 +111,51 @@ def _within(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(step)[:n] > 0
 
 
-def run_counts(labelled: DataFrame) -> DataFrame:
-    """run, its cells, and how often it occurs in ordinary (n0) and toxic (n1) texts."""
+def _counted(labelled: DataFrame, name: str, keys: Callable) -> DataFrame:
+    """How often every key of the texts occurs in ordinary (n0) and toxic (n1) ones; ``keys``
+    gives the keys of a slice of texts and how many each text has."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def summed(parts: list) -> tuple[np.ndarray, np.ndarray]:
-            runs, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            found, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
             n = np.concatenate([p[1] for p in parts])
-            return runs, np.stack([np.bincount(back, n[:, i], len(runs)) for i in (0, 1)], axis=1).astype(np.int64)
+            return found, np.stack([np.bincount(back, n[:, i], len(found)) for i in (0, 1)], axis=1).astype(np.int64)
+
+        def batch() -> pa.RecordBatch:
+            found, n = summed(parts)
+            return pa.record_batch([pa.array(found.view(np.int64)), pa.array(n[:, 0]), pa.array(n[:, 1])], [name, "n0", "n1"])
 
         parts: list = []
         for rows, data, begin in blocks(batches, "text"):
-            stream, _, a, b = _stream(data, begin)
-            runs = _runs(stream)
-            toxic = np.repeat(rows.column(1).to_numpy(zero_copy_only=False), b - a).astype(np.int64)
-            found = runs[_within(a, b, len(runs))]
-            parts.append((found, np.stack([1 - toxic, toxic], axis=1)))
+            found, per_text = keys(data, begin)
+            toxic = np.repeat(rows.column(1).to_numpy(zero_copy_only=False), per_text).astype(np.int64)
+            parts.append(summed([(found, np.stack([1 - toxic, toxic], axis=1))]))
             if sum(len(p[0]) for p in parts) > BUFFER:
-                parts = [summed(parts)]
+                yield batch()
+                parts = []
         if parts:
-            runs, n = summed(parts)
-            yield pa.record_batch(
-                [pa.array(runs.view(np.int64)), pa.array(_cell(runs, RUN_CELLS), pa.int32()), pa.array(_cell(runs >> np.uint64(8), CONTEXT_CELLS), pa.int32()),
-                 pa.array(n[:, 0]), pa.array(n[:, 1])], ["run", "cell", "context_cell", "n0", "n1"])
+            yield batch()
+
+    rows = labelled.mapInArrow(count, f"{name} bigint, n0 bigint, n1 bigint")
+    return rows.groupBy(name).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+
+
+def run_counts(labelled: DataFrame) -> DataFrame:
+    """run, and how often it occurs in ordinary (n0) and toxic (n1) texts."""
+    def keys(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        stream, _, a, b = _stream(data, begin)
+        runs = _runs(stream)
+        return runs[_within(a, b, len(runs))], b - a
 
-    rows = labelled.mapInArrow(count, "run bigint, cell int, context_cell int, n0 bigint, n1 bigint")
-    return rows.groupBy("run", "cell", "context_cell").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    return _counted(labelled, "run", keys)
+
+
+def word_counts(labelled: DataFrame) -> DataFrame:
+    """word (its hash), and how often it occurs in ordinary (n0) and toxic (n1) texts."""
+    def keys(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts, ends, per_text = spans(data, begin, ALNUM)
+        return hashes(data, starts, ends), per_text
+
+    return _counted(labelled, "word", keys)
 
 
 def _shared(runs: DataFrame) -> DataFrame:
@@ -149,16 +178,19 @@ def _shared(runs: DataFrame) -> DataFrame:
     return p
 
 
-def score_tables(runs: DataFrame) -> tuple[np.ndarray, ...]:
-    """log p(toxic) - log p(ordinary) of every known run, and of an unknown run after every
-    known context, and the shared log p of every known run; each the weighted mean of what
-    shares a cell; NaN where nothing is known."""
+def known_items(runs: DataFrame, words: DataFrame) -> DataFrame:
+    """kind, key and two values of everything known.  Of a run: log p(toxic) - log p(ordinary) and
+    its shared log p; of a context: the same difference for a run that is new after it; of a word:
+    its two counts."""
     context = W.partitionBy(F.shiftright("run", 8))
 
     def has(n: str) -> Column:
         return F.when(F.col(n) > 0, 1).otherwise(0)
 
-    seen = runs.select("*", *[F.sum(f"n{i}").over(context).alias(f"c{i}") for i in (0, 1)], *[F.sum(has(f"n{i}")).over(context).alias(f"k{i}") for i in (0, 1)])
+    def totals(of) -> list[Column]:
+        return [of(F.sum(f"n{i}")).alias(f"c{i}") for i in (0, 1)] + [of(F.sum(has(f"n{i}"))).alias(f"k{i}") for i in (0, 1)]
+
+    seen = runs.select("*", *totals(lambda x: x.over(context)))
     seen = seen.join(_shared(runs), F.col("run").bitwiseAND(F.lit((1 << 8 * (RUN - 1)) - 1)) == F.col("h"))
 
     def left(i: int) -> Column:
@@ -169,27 +201,56 @@ def score_tables(runs: DataFrame) -> tuple[np.ndarray, ...]:
         own = F.when(F.col(f"c{i}") > 0, F.greatest(F.col(f"n{i}") - DISCOUNT, F.lit(0.0)) / F.col(f"c{i}")).otherwise(0.0)
         return own + left(i) * F.col("q")
 
-    seen = stored(seen.select("cell", "context_cell", (F.col("n0") + F.col("n1")).alias("n"), (F.log(p(1)) - F.log(p(0))).alias("known"), (F.log(left(1)) - F.log(left(0))).alias("unknown"), F.log("q").alias("shared")), "ratios")
+    def item(kind: int, key: str, one: Column, two: Column) -> list[Column]:
+        return [F.lit(kind).alias("kind"), F.col(key).alias("key"), one.cast("float").alias("one"), two.cast("float").alias("two")]
 
-    def cells(name: str, value: str, size: int) -> np.ndarray:
-        out = np.full(size, np.nan, np.float32)
-        found = seen.groupBy(F.col(name).alias("c")).agg((F.sum(F.col("n") * F.col(value)) / F.sum("n")).cast("float").alias("v")).toArrow()
-        out[found.column("c").to_numpy()] = found.column("v").to_numpy()
-        return out
+    contexts = runs.groupBy(F.shiftright("run", 8).alias("context")).agg(*totals(lambda x: x))
+    out = seen.select(item(RUNS, "run", F.log(p(1)) - F.log(p(0)), F.log("q")))
+    out = out.union(contexts.select(item(CONTEXTS, "context", F.log(left(1)) - F.log(left(0)), F.lit(0.0))))
+    return stored(out.union(words.select(item(WORDS, "word", F.col("n0"), F.col("n1")))), "known")
 
-    return cells("cell", "known", RUN_CELLS), cells("context_cell", "unknown", CONTEXT_CELLS), cells("cell", "shared", RUN_CELLS)
 
+def in_blocks(docs: DataFrame) -> DataFrame:
+    """The texts with the number of a block of about ``TEXTS`` bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, before = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64
+            ends = before + np.cumsum(size)
+            before = int(ends[-1]) if len(ends) else before
+            yield pa.record_batch([pa.array(task + (ends - size) // TEXTS), *batch.columns], ["block", *batch.schema.names])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return stored(docs.mapInArrow(run, f"block bigint, doc_id {kind}, text string"), "texts", compression="zstd")
 
-def word_counts(labelled: DataFrame, toxic: int) -> np.ndarray:
-    """How often the words of each cell occur in the texts of one class."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(WORD_CELLS, np.int64)
-        for _, data, begin in blocks(batches, "text"):
-            starts, ends, _ = spans(data, begin, ALNUM)
-            np.add.at(total, _cell(hashes(data, starts, ends), WORD_CELLS), 1)
-        yield packed(total)
 
-    return summed(labelled.where(F.col("toxic") == toxic).select("text").mapInArrow(count, SCHEMA), WORD_CELLS)
+def asked(texts: DataFrame) -> DataFrame:
+    """block, kind and key of every distinct run, context and word of a block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: dict[int, list] = {}
+
+        def closed(block: int) -> Iterator[pa.RecordBatch]:
+            for kind, parts in enumerate(zip(*open_.pop(block))):
+                keys = np.unique(np.concatenate(parts)).view(np.int64)
+                for at in range(0, len(keys), 1 << 16):
+                    some = keys[at : at + (1 << 16)]
+                    yield pa.record_batch([pa.array(np.full(len(some), block)), pa.array(np.full(len(some), kind, np.int32)), pa.array(some)], ["block", "kind", "key"])
+
+        for rows, data, begin in blocks(batches, "text"):
+            here = set(rows.column(0).to_pylist())
+            for block in [b for b in open_ if b not in here]:
+                yield from closed(block)
+            stream, _, a, b = _stream(data, begin)
+            runs = _runs(stream)
+            runs = np.unique(runs[_within(a, b, len(runs))])
+            starts, ends, _ = spans(stream, np.array([0, len(stream)]), ALNUM)
+            items = runs, np.unique(runs >> np.uint64(8)), np.unique(hashes(stream, starts, ends))
+            for block in here:
+                open_.setdefault(block, []).append(items)
+        for block in list(open_):
+            yield from closed(block)
+
+    return texts.mapInArrow(run, "block bigint, kind int, key bigint")
 
 
 def _best(total: np.ndarray, a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -203,43 +264,66 @@ def _best(total: np.ndarray, a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray
     return best
 
 
-def features(docs: DataFrame, runs_of: tuple[np.ndarray, ...], words_of: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def features(docs: DataFrame, runs: DataFrame, words: DataFrame) -> DataFrame:
     """doc_id and the evidence of every whole text, in nats per byte and per word; 0 for a text
     without words."""
-    kept = docs.sparkSession.sparkContext.broadcast((tuple(map(_short, runs_of)), tuple(map(_short, words_of))))
-    seen = [max(int(w.sum()), 1) for w in words_of]
-    left = [max(DISCOUNT * np.count_nonzero(w) / size, 1e-9) for w, size in zip(words_of, seen)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (known, unknown, shared), counts = kept.value
-        for rows, data, begin in blocks(batches, "text"):
+    n = words.agg(*[F.sum(f"n{i}") for i in (0, 1)], *[F.count_if(F.col(f"n{i}") > 0) for i in (0, 1)]).first()
+    seen = [max(n[i] or 0, 1) for i in (0, 1)]
+    left = [max(DISCOUNT * n[2 + i] / seen[i], 1e-9) for i in (0, 1)]
+    texts = in_blocks(docs)
+    found = asked(texts).join(known_items(runs, words), ["kind", "key"]).select("block", "kind", "key", "one", "two")
+
+    def score(_, ours: pa.Table, theirs: pa.Table) -> pa.Table:
+        kind = theirs.column("kind").to_numpy()
+        tables = []
+        for k in (RUNS, CONTEXTS, WORDS):
+            part = np.flatnonzero(kind == k)
+            keys, first = np.unique(theirs.column("key").to_numpy()[part].view(np.uint64), return_index=True)
+            tables.append((keys, *[theirs.column(c).to_numpy()[part[first]].astype(np.float64) for c in ("one", "two")]))
+
+        def looked_up(k: int, keys: np.ndarray, absent: tuple[float, float]) -> tuple[np.ndarray, ...]:
+            known, *values = tables[k]
+            at = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
+            hit = known[at] == keys if len(known) else np.zeros(len(keys), bool)
+            return tuple(np.where(hit, v[at] if len(v) else 0.0, x) for v, x in zip(values, absent))
+
+        out = []
+        for rows, data, begin in blocks(iter(ours.select(["doc_id", "text"]).to_batches()), "text"):
             stream, at, a, b = _stream(data, begin)
-            runs = _runs(stream)
-            cell = _cell(runs, RUN_CELLS)
-            ratio = _long(known[cell])
+            every, back = np.unique(_runs(stream), return_inverse=True)
+            ratio, shared = looked_up(RUNS, every, (np.nan, RARE))
             new = np.flatnonzero(np.isnan(ratio))
-            ratio[new] = np.nan_to_num(_long(unknown[_cell(runs[new] >> np.uint64(8), CONTEXT_CELLS)]))
-            total = np.concatenate([[0.0], np.cumsum(ratio, dtype=np.float64)])
+            ratio[new] = looked_up(CONTEXTS, every[new] >> np.uint64(8), (0.0, 0.0))[0]
+            total = np.concatenate([[0.0], np.cumsum(ratio[back])])
             columns = [(total[b] - total[a]) / np.maximum(b - a, 1), *[_best(total, a, b, m) for m in PASSAGES]]
 
-            # a word's bytes under the shared model: the runs that end within it or just behind it
-            plain = np.concatenate([[0.0], np.cumsum(np.nan_to_num(_long(shared[cell]), nan=-5.5), dtype=np.float64)])
+            # a word's bytes under the shared model: the runs of its text that end within it or just
+            # behind it; what the beginning of the text lacks counts as rare
+            plain = np.concatenate([[0.0], np.cumsum(shared[back])])
             starts, ends, _ = spans(stream, np.array([0, len(stream)]), ALNUM)
-            here, there = np.clip(starts - RUN + 1, 0, len(runs)), np.clip(ends - RUN + 2, 0, len(runs))
-            usual = np.exp(np.clip(plain[there] - plain[here], -40, 0))
-            word = _cell(hashes(stream, starts, ends), WORD_CELLS)
-            n = [_long(c[word]).astype(np.float64) for c in counts]
+            first = np.searchsorted(starts, at)
+            last = np.searchsorted(starts, np.append(at[1:], len(stream)))
+            owner = np.repeat(np.arange(len(at)), last - first)
+            here = np.clip(starts - RUN + 1, a[owner], b[owner])
+            there = np.clip(ends - RUN + 2, a[owner], b[owner])
+            lacking = np.maximum(a[owner] - (starts - RUN + 1), 0)
+            usual = np.exp(np.clip(plain[there] - plain[here] + RARE * lacking, -40, 0))
+            n = looked_up(WORDS, hashes(stream, starts, ends), (0.0, 0.0))
             p = [np.maximum(n[i] - DISCOUNT, 0) / seen[i] + left[i] * usual for i in (0, 1)]
             often = n[0] + n[1]
             gain = (np.log(p[1]) - np.log(p[0])) * (often / (often + TRUST))
             total = np.concatenate([[0.0], np.cumsum(gain)])
-            first = np.searchsorted(starts, at)
-            last = np.searchsorted(starts, np.append(at[1:], len(stream)))
             columns += [(total[last] - total[first]) / np.maximum(last - first, 1), *[_best(total, first, last, m) for m in WORD_PASSAGES]]
-            yield pa.record_batch([rows.column(0), *[pa.array(c) for c in columns]], ["doc_id", *FEATURES])
+            out.append(pa.record_batch([rows.column(0), *[pa.array(c) for c in columns]], names))
+        return pa.Table.from_batches(out) if out else empty(ours)
+
+    names = ["doc_id", *FEATURES]
+
+    def empty(ours: pa.Table) -> pa.Table:
+        return pa.table([pa.array([], ours.schema.field("doc_id").type), *[pa.array([], pa.float64()) for _ in FEATURES]], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{f} double" for f in FEATURES))
+    return texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(score, f"doc_id {kind}, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
 def fit(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
@@ -293,7 +377,8 @@ def scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     training = hashed.mapInArrow(labelled, f"doc_id {kind}, text string").join(given.where("not fits"), F.col("doc_id") == F.col("id")).select("text", "toxic")
     training = stored(training, "training")
     runs = stored(run_counts(training), "runs")
-    evidence = stored(features(rows, score_tables(runs), (word_counts(training, 0), word_counts(training, 1))), "evidence")
+    words = stored(word_counts(training), "words")
+    evidence = stored(features(rows, runs, words), "evidence")
 
     # about as many rows as are wanted, so that no task offers more than its share
     share = min(1.0, 1.2 * FIT_ROWS / max(1, given.where("fits").count()))

@@ -281,6 +281,26 @@ def test_toxicity_finds_single_insults(spark):
     assert set(none.score) == {0.0}
 
 
+def test_toxicity_shares_no_counts(spark):
+    """Under the 4,194,304 cells that once held the counts, q4350670 read those of zonkhead."""
+    rng = random.Random(16)
+    rows = [(i, prose(rng, 40) + (" zonkhead" if i % 5 == 0 else "")) for i in range(600)]
+    labels = [(i, int(i % 5 == 0)) for i in range(600)]
+    rows += [(1000, prose(rng, 40) + " q4350670 " + prose(rng, 40)), (1001, prose(rng, 40) + " zonkhead " + prose(rng, 40))]
+    got = {r.doc_id: r for r in toxicity.scores(docs(spark, rows), spark.createDataFrame(labels, "doc_id bigint, toxic int")).collect()}
+    assert got[1000].words_1 < 0.5 * got[1001].words_1 and (got[1000].predicted, got[1001].predicted) == (0, 1)
+
+
+def test_toxicity_score_depends_on_the_text_alone(spark, monkeypatch):
+    rng = random.Random(26)
+    rows = [(i, rng.choice(["zonkhead ", ""]) + prose(rng, 30)) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(t.startswith("zonk"))) for i, t in rows], "doc_id bigint, toxic int")
+    one = {r.doc_id: r.score for r in toxicity.scores(docs(spark, rows), labels).collect()}
+    monkeypatch.setattr(toxicity, "TEXTS", 1 << 11)
+    two = {r.doc_id: r.score for r in toxicity.scores(docs(spark, rows[::-1]), labels).collect()}
+    assert one.keys() == two.keys() and all(abs(one[i] - two[i]) < 1e-6 for i in one)
+
+
 # -- pages
 
 
