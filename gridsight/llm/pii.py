@@ -3,11 +3,14 @@
 Generators with high recall propose spans that may overlap.  Every candidate is described by a
 few small numbers: format (digits, groups, separators, checksums) and context (neighbouring
 characters, a word that announces personal data).  All candidates of the corpus are counted per
-description, a table of bounded size, on which small trees are boosted; a candidate is a positive
-example if the exact rules of its kind accept it.  The trees become one CASE expression.  Per
-kind, the threshold is the lowest score at which candidates set aside for it are right in
-``PRECISION`` of the cases.  What the exact rules find always stays; candidates above the
-threshold that touch none of it are added.
+description, a table of bounded size, on which small trees are boosted per kind.  A candidate is a
+positive example by evidence that does not look at the exact pattern (``right`` of ``described``): what it says
+without its disguise passes the check of its kind, its shape is one that such data is written in,
+a number without a sign of its own is announced, and it is no date.  The trees become one CASE
+expression.  Per kind, the threshold is the lowest score at which candidates set aside for it are
+right in ``PRECISION`` of the cases; only candidates that touch nothing the exact rules find count
+there, because only they can be added.  What the exact rules find always stays; candidates above
+the threshold that touch none of it are added.
 """
 
 import math
@@ -39,12 +42,17 @@ WIDE = {
 #: A text that lacks these has no match of the kind.
 HINT = {"email": "@|(?i)[(\\[]at[)\\]]", "ip": "[0-9]", "card": "[0-9]", "phone": "[0-9]"}
 EXACT_HINT = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]"}
-CONTEXT = r"(?i)\b(?:call|phone|tel|telephone|mobile|fax|contact|mail|e-mail|email|card|visa|credit|ip|server|host|address)\b[^a-z]{0,12}$"
+#: A word that announces data of the kind, with a few small words behind it.
+ANNOUNCED = {"email": "contact|mail|e-mail|email|address", "ip": "ip|server|host|address", "card": "card|visa|credit|mastercard|amex", "phone": "call|phone|tel|telephone|mobile|cell|fax|contact"}
+CONTEXT = r"(?i)\b(?:%s)\b(?:[^a-z]{1,4}(?:me|us|him|her|them|at|on|is|was|number|no|now))*[^a-z]{0,12}$"
+YEAR = "(?:19|20)[0-9]{2}"
+#: Day, month and year in either order, eight digits of a date, or two years.
+DATE = rf"^\(?(?:{YEAR}[-/.\x20][01]?[0-9][-/.\x20][0-3]?[0-9](?![0-9])|[0-3]?[0-9][-/.\x20][0-3]?[0-9][-/.\x20]{YEAR}(?![0-9])|{YEAR}[01][0-9][0-3][0-9](?![0-9])|{YEAR}[-/\x20]+{YEAR}(?![0-9]))"
 #: Characters before a candidate that are looked at.
 BEFORE = 24
 
 #: The description of a candidate: name and number of values.
-FEATURES = {"kind": 4, "digits": 24, "letters": 4, "groups": 6, "separator": 6, "luhn": 2, "octets": 2, "plus": 2, "at": 2, "edge": 4, "context": 2, "longest": 8}
+FEATURES = {"kind": 4, "digits": 24, "letters": 4, "groups": 6, "separator": 6, "luhn": 2, "octets": 2, "plus": 2, "at": 2, "edge": 4, "context": 2, "longest": 8, "date": 2, "ending": 2, "even": 2, "fours": 2}
 ROUNDS, RATE, LEAVES_PULL = 24, 0.4, 1.0
 PRECISION = 0.99
 
@@ -86,6 +94,11 @@ def only_digits(m: Column) -> Column:
     return F.regexp_replace(m, "[^0-9]", "")
 
 
+def plain_address(m: Column) -> Column:
+    """An address with its written-out at and dots as signs."""
+    return F.regexp_replace(F.regexp_replace(m, r"(?i)\x20?[(\[]at[)\]]\x20?", "@"), r"(?i)\x20?[(\[]dot[)\]]\x20?", ".")
+
+
 def octets(m: Column) -> Column:
     return m.rlike(r"^(?:0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])(?:[.,:_]|$)){4}$")
 
@@ -122,7 +135,8 @@ def apart(spans: Column, others: Column) -> Column:
 
 
 def described(kind: str, c: Column) -> Column:
-    """A candidate with its features, every one of them a small whole number."""
+    """A candidate with its features, every one of them a small whole number, and whether it is
+    right by evidence that is independent of the exact pattern."""
     m = c["m"]
     digits = only_digits(m)
     n = F.char_length(digits)
@@ -134,13 +148,23 @@ def described(kind: str, c: Column) -> Column:
     separators = F.regexp_replace(m, "[0-9A-Za-z]", "")
     sep = F.when(separators == "", 0).when(separators.rlike(r"^\x20+$"), 1).when(separators.rlike("^-+$"), 2).when(separators.rlike(r"^\.+$"), 3).when(separators.rlike(r"^[\x20.-]+$"), 4).otherwise(5)
     edge = F.when(F.substring(c["gap"], -1, 1).rlike("[0-9A-Za-z]"), 1).otherwise(0) + F.when(c["next"].rlike("[0-9A-Za-z]"), 2).otherwise(0)
+    even, fours = F.replace(separators, F.substring(separators, 1, 1), F.lit("")) == "", m.rlike(r"^[0-9]{4}(?:[^0-9][0-9]{4}){3}(?:[^0-9][0-9]{1,3})?$")
+    announced, date, whole = c["gap"].rlike(CONTEXT % ANNOUNCED[kind]), m.rlike(DATE), edge == 0
+    ending = plain_address(m).rlike(r"\.[A-Za-z]{2,}$") if kind == "email" else F.lit(False)
     yes = lambda x: F.when(x, 1).otherwise(0)
+    right = {
+        "email": ending,
+        "ip": octets(m) & even & whole & (announced | separators.startswith(".")),
+        "card": valid("card", m) & whole & even & ((separators == "") | fours),
+        "phone": valid("phone", m) & whole & ~date & ~octets(m) & (m.startswith("+") | announced),
+    }[kind]
     return F.struct(
         c["start"].alias("start"), c["end"].alias("end"),
         F.lit(KINDS.index(kind)).alias("kind"), held(n, "digits"), held(F.char_length(m) - n - F.char_length(separators), "letters"),
         held(F.size(groups), "groups"), held(sep, "separator"), held(yes(F.when(n.between(12, 19), luhn(digits)).otherwise(F.lit(False))), "luhn"),
         held(yes(octets(m)), "octets"), held(yes(m.startswith("+")), "plus"), held(yes(m.contains("@")), "at"), held(edge, "edge"),
-        held(yes(c["gap"].rlike(CONTEXT)), "context"), held(F.array_max(F.transform(groups, F.char_length)), "longest"),
+        held(yes(announced), "context"), held(F.array_max(F.transform(groups, F.char_length)), "longest"),
+        held(yes(date), "date"), held(yes(ending), "ending"), held(yes(even), "even"), held(yes(fours), "fours"), yes(right).alias("right"),
     )
 
 
@@ -205,24 +229,21 @@ def tree_sql(tree, row: Column) -> Column:
     return F.when(row[list(FEATURES)[tree[0]]] <= tree[1], tree_sql(tree[2], row)).otherwise(tree_sql(tree[3], row))
 
 
-def thresholds(cells: list[tuple[tuple[int, ...], float, float]], start: float, trees: list) -> list[float]:
-    """Per kind, the lowest score from which on ``PRECISION`` of the set-aside candidates are right."""
-    out = []
-    for kind in range(len(KINDS)):
-        at: Counter = Counter()
-        right: Counter = Counter()
-        for x, pos, n in cells:
-            if x[0] == kind:
-                s = start + sum(predict(t, x) for t in trees)
-                at[s] += n
-                right[s] += pos
-        chosen, n, good = math.inf, 0.0, 0.0
-        for s in sorted(at, reverse=True):
-            n, good = n + at[s], good + right[s]
-            if good >= PRECISION * n:
-                chosen = s
-        out.append(chosen)
-    return out
+def threshold(cells: list[tuple[tuple[int, ...], float, float]], start: float, trees: list) -> float:
+    """The lowest score from which on ``PRECISION`` of the candidates are right, and at which
+    itself most are."""
+    at: Counter = Counter()
+    right: Counter = Counter()
+    for x, pos, n in cells:
+        s = start + sum(predict(t, x) for t in trees)
+        at[s] += n
+        right[s] += pos
+    chosen, n, good = math.inf, 0.0, 0.0
+    for s in sorted(at, reverse=True):
+        n, good = n + at[s], good + right[s]
+        if good >= PRECISION * n and 2 * right[s] > at[s]:
+            chosen = s
+    return chosen
 
 
 def find_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -240,24 +261,30 @@ def find_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep
     rows = stored(rows.withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(5))), "candidates")
 
     # one row per description: at most the product of the features' sizes, in practice few
+    base = F.concat(*[F.col(k) for k in KINDS])
     each = []
     for k in KINDS:
-        one = rows.select("fold", k, F.explode(f"wide_{k}").alias("c"))
-        exact = F.exists(F.col(k), lambda b: (b["start"] == F.col("c.start")) & (b["end"] == F.col("c.end")))
-        each.append(one.select((F.col("fold") == 0).alias("aside"), *[F.col(f"c.{f}").alias(f) for f in FEATURES], exact.cast("int").alias("right")))
-    counted = reduce(DataFrame.union, each).groupBy("aside", *FEATURES).agg(F.sum("right").alias("pos"), F.count(F.lit(1)).alias("n")).collect()
-    cells: dict[bool, list] = {True: [], False: []}
-    for r in sorted(counted, key=lambda r: tuple(r)):
-        cells[r["aside"]].append((tuple(r[f] for f in FEATURES), float(r["pos"]), float(r["n"])))
-    start, trees = boost(cells[False])
-    cuts = thresholds(cells[True], start, trees)
+        one = rows.select("fold", base.alias("base"), F.explode(f"wide_{k}").alias("c"))
+        free = ~F.exists("base", lambda b: (F.col("c.start") < b["end"]) & (b["start"] < F.col("c.end")))
+        each.append(one.select((F.col("fold") == 0).alias("aside"), free.alias("free"), *[F.col(f"c.{f}").alias(f) for f in FEATURES], F.col("c.right").alias("right")))
+    counted = reduce(DataFrame.union, each).groupBy("aside", "free", *FEATURES).agg(F.sum("right").alias("pos"), F.count(F.lit(1)).alias("n")).collect()
+    models = {}
+    for i, k in enumerate(KINDS):
+        cells: dict[tuple[bool, bool], list] = {(a, f): [] for a in (True, False) for f in (True, False)}
+        for r in sorted(counted, key=lambda r: tuple(r)):
+            if r["kind"] == i:
+                cells[r["aside"], r["free"]].append((tuple(r[f] for f in FEATURES), float(r["pos"]), float(r["n"])))
+        start, trees = boost(cells[False, True] + cells[False, False])
+        # without a candidate set aside, those that were learned from must do
+        models[k] = start, trees, threshold(cells[True, True] or cells[False, True], start, trees)
 
     def chosen(k: str) -> Column:
-        cut = cuts[KINDS.index(k)]
-        if not trees or cut == math.inf:
+        start, trees, cut = models[k]
+        if cut == math.inf:
             return F.array().cast("array<struct<kind:int,start:int,end:int>>")
-        above = F.filter(F.col(f"wide_{k}"), lambda c: reduce(lambda a, t: a + tree_sql(t, c), trees, F.lit(start)) >= cut)
-        return named(apart(above, F.concat(*[F.col(b) for b in KINDS])), k)
+        # scores are sums of floats: what stands at the threshold stays on its side
+        above = F.filter(F.col(f"wide_{k}"), lambda c: reduce(lambda a, t: a + tree_sql(t, c), trees, F.lit(start)) >= cut - 1e-9)
+        return named(apart(above, base), k)
 
     rows = rows.select("*", *[chosen(k).alias(f"more_{k}") for k in KINDS])
     # added spans of two kinds may overlap each other: the kind listed first stays

@@ -206,6 +206,31 @@ def test_personal_data(spark, odd_rows):
     assert found.count() == len(rows)
 
 
+@pytest.mark.parametrize("plain", [0, 30_000])
+def test_disguised_personal_data_is_added_and_dates_are_not(spark, plain):
+    """Whether the plain form is absent or so common that disguises are under 1 % of a kind."""
+    def luhn_number(rng):
+        digits = [4] + [rng.randrange(10) for _ in range(14)]
+        total = sum(d if i % 2 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(digits))
+        return "".join(map(str, [*digits, -total % 10]))
+
+    rng, rows, want, dates = random.Random(12), [], {}, {}
+    for i in range(100):
+        number = luhn_number(rng)
+        for j, (kind, m, before) in enumerate([
+            ("email", f"name{i} [at] host{i % 7} [dot] com", "write to "), ("phone", f"({200 + i}) 555-{1000 + i}", "please call me at "),
+            ("card", ".".join(number[k : k + 4] for k in range(0, 16, 4)), "she paid with "),
+        ]):
+            rows.append((10 * i + j, f"{before}{m} today"))
+            want[10 * i + j] = f"{kind}:{len(before)}:{len(before) + len(m)}"
+        for j, m in enumerate([f"19{60 + i % 40}-0{1 + i % 9}-1{i % 9}", f"1{i % 9}/0{1 + i % 9}/2004", f"0.{10**14 + i * 7919 * 104729}"]):
+            rows.append((10 * i + 5 + j, f"it was done on {m} or so"))
+            dates[10 * i + 5 + j] = ""
+    rows += [(10_000 + i, f"{luhn_number(rng)} and a{i}@b.com and +1 555 {1_000_000 + i}") for i in range(plain)]
+    got = {r.doc_id: r.all for r in pii.find_spans(docs(spark, rows)).where("doc_id < 10000").select("doc_id", pii.listed("spans").alias("all")).collect()}
+    assert got == want | dates
+
+
 def test_boosting_learns_a_rule():
     rng = random.Random(1)
     cells = []
