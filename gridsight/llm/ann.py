@@ -176,20 +176,30 @@ def _homes(ids: np.ndarray, d: np.ndarray, centroids: np.ndarray) -> tuple[np.nd
 
 
 def top(scores: np.ndarray, q: np.ndarray, v: np.ndarray, same: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k best columns of every row with exact scores: row, column, score.
+    """The k best ids of every row with exact scores, each with its best column: row, column, score.
 
+    ``ids`` may repeat with different vectors; a row of an id that is not its best takes no place.
     A product of matrices may differ in the last bits from column to column; so everything near
     the border is kept, added up component by component in one order, and then ranked.
     """
     scores = np.where(same, -np.inf, scores)
-    n = min(k, scores.shape[1])
-    border = np.partition(scores, scores.shape[1] - n, axis=1)[:, scores.shape[1] - n]
+    names, back, often = np.unique(ids, return_inverse=True, return_counts=True)
+    n = min(k, len(names))
+    if len(names) < len(ids):  # the border is drawn among the best scores of the ids
+        by_id = np.argsort(back, kind="stable")
+        scores_ = np.maximum.reduceat(scores[:, by_id], np.cumsum(often) - often, axis=1)
+    else:
+        scores_ = scores
+    border = np.partition(scores_, scores_.shape[1] - n, axis=1)[:, scores_.shape[1] - n]
     r, c = np.nonzero((scores >= (border - 1e-9 * (1 + np.abs(border)))[:, None]) & ~same)
     exact = np.zeros(len(r))
     for i in range(q.shape[1]):
         exact += q[r, i] * v[c, i]
     order = np.lexsort((ids[c], -exact, r))
     r, c, exact = r[order], c[order], exact[order]
+    if len(names) < len(ids):
+        first = np.sort(np.unique(r * len(names) + back[c], return_index=True)[1])  # the best row of every id
+        r, c, exact = r[first], c[first], exact[first]
     place = np.arange(len(r)) - np.searchsorted(r, r)
     return r[place < k], c[place < k], exact[place < k]
 
@@ -208,9 +218,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "
         rows = df.select(F.col(vec_id).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
         return rows.where(F.col("id").isNotNull() & usable(F.col("v")))
 
-    base, asked = clean(vectors), clean(queries)
+    # equal rows are one; -0.0 is 0.0
+    base = clean(vectors).select("id", F.transform("v", lambda x: x + F.lit(0.0)).alias("v")).distinct()
+    asked = clean(queries)
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     kind = "id bigint, v array<double>"
+    base = stored(base, "vectors")
     n, dim, longest = base.agg(F.count(F.lit(1)), F.max(F.size("v")), F.max(length)).first()
     if not n:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
@@ -261,7 +274,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "
 
     def dealt(rows: DataFrame, own: str, own_count: str, other_: str, other_count: str) -> DataFrame:
         return rows.join(blocks, "group").select(
-            "group", F.pmod(F.xxhash64("id"), F.col(own_count)).cast("int").alias(own),
+            "group", F.pmod(F.xxhash64("id", "v"), F.col(own_count)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.col(other_count) - 1)).alias(other_), "id", "v", "lists")
 
     def by_list(t: pa.Table) -> dict[int, np.ndarray]:

@@ -282,6 +282,19 @@ def test_nearest_neighbours(spark):
     assert [(r.query_id, r["rank"], r.vec_id) for r in ann.nearest(few, few.where("vec_id = 0")).orderBy("rank").collect()] == [(0, 1, 1), (0, 2, 2)]
 
 
+@pytest.mark.parametrize("differ", [False, True])
+def test_repeated_ids_take_one_place(spark, differ):
+    rng = np.random.default_rng(14)
+    x = rng.normal(size=(60, 8))
+    x[7] = 3 * x[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(7, (x[7] * (1 - differ * j / 100)).tolist()) for j in range(1, 31)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = ann.nearest(vectors, vectors.where("vec_id = 0")).orderBy("rank").collect()
+    s = x @ x[0]
+    s[0] = -np.inf
+    assert [r.vec_id for r in got] == np.argsort(-s)[:20].tolist() and np.allclose([r.score for r in got], np.sort(s)[::-1][:20])
+
+
 # -- toxicity
 
 
