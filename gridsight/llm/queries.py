@@ -1,6 +1,6 @@
 """The registered queries of this subpackage: one per operator, over its whole table."""
 
-from . import ann, bpe, decontaminate, html_text, jaccard, language, licences, pii, sharding, toxicity
+from . import ann, bpe, decontaminate, html_text, jaccard, language, licences, merkle, packed, pii, runs, sharding, toxicity
 
 QUERIES = {
     "op1_nearest_neighbours": ann.op1,
@@ -13,9 +13,13 @@ QUERIES = {
     "op8_ngram_jaccard_join": jaccard.op8,
     "op9_licence_scan": licences.op9,
     "op10_sharding": sharding.op10,
+    "op11_packed_tokens": packed.op11,
+    "op12_periodic_runs": runs.op12,
+    "op13_merkle_manifest": merkle.op13,
 }
 #: SQL counterparts; the operators without one are tested against a brute-force version.
 ORACLES: dict[str, str] = {
     "op6_benchmark_decontamination": decontaminate.SQL,
     "op8_ngram_jaccard_join": jaccard.SQL,
+    "op13_merkle_manifest": merkle.SQL,
 }
