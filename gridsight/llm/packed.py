@@ -19,20 +19,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from .shared import folder, table
-from .words import release
+from .words import flat, release
 
 MAGIC = b"PACKIDS1"
 #: Ids in a block, and ids after which a task begins a new file (at the next document).
 BLOCK, FILE_IDS = 1 << 16, 1 << 26
 #: Bytes of text encoded at once, and ids that a reader hands over at once.
-TEXTS, BATCH_IDS = 1 << 20, 1 << 19
+TEXTS, BATCH_IDS = 1 << 22, 1 << 19
+#: Pieces of text that a worker remembers per generation; longer ones than this are not kept.
+MEMORY, LONG = 400_000, 200
 MANIFEST = "manifest.json"
+#: White space: the bytes that are characters of their own, and those of two or three bytes.
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+LETTER, SIGN = np.zeros(256, bool), np.zeros(256, bool)
+LETTER[65:91] = LETTER[97:123] = True
+SIGN[33:48] = SIGN[58:65] = SIGN[91:97] = SIGN[123:127] = True
+WIDE_SPACE = [c.encode() for c in map(chr, range(128, 0x3001)) if c.isspace()]
 SCHEMA = "doc_id bigint, start bigint, n_tokens bigint, ids binary"
 
 
@@ -274,31 +284,146 @@ class PackedIds(DataSource):
 # -- documents
 
 
+def cuts(data: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts begin: at every text that is not empty; at every blank, and before
+    and after every line end, that stands alone between two characters that are no white space;
+    and between an ASCII letter and what is an ASCII sign.
+
+    There the pattern of a byte-level vocabulary cuts whatever stands around, and it looks at
+    nothing further back, so pieces may be encoded one by one.
+    """
+    first = np.zeros(len(data) + 1, bool)
+    first[begin[:-1][np.diff(begin) > 0]] = True
+    inner = ~first[:-1]
+    at = np.flatnonzero(((data == 32) | (data == 10)) & inner)
+    at = at[(at + 1 < len(data)) & ~first[np.minimum(at + 1, len(data))]]
+    at = at[~SPACE[data[at - 1]] & ~SPACE[data[at + 1]]]
+    # white space beyond ASCII: two or three bytes
+    far = np.flatnonzero((data[at - 1] >= 128) | (data[at + 1] >= 128))
+    if len(far):
+        padded = np.concatenate([np.zeros(3, np.uint8), data, np.zeros(3, np.uint8)])
+        spot, odd = at[far] + 3, np.zeros(len(far), bool)
+        for white in WIDE_SPACE:
+            odd |= np.logical_and.reduce([padded[spot - len(white) + i] == c for i, c in enumerate(white)])
+            odd |= np.logical_and.reduce([padded[spot + 1 + i] == c for i, c in enumerate(white)])
+        at = np.delete(at, far[odd])
+    first[1:-1] |= LETTER[data[:-1]] & SIGN[data[1:]]
+    first[at] = True
+    first[at[data[at] == 10] + 1] = True
+    return np.flatnonzero(first[:-1])
+
+
+class Encoder:
+    """A tokenizer of the tokenizers library with a memory of pieces of texts.
+
+    Pieces of a block of texts are numbered without a loop over them; every piece not seen lately
+    is encoded by the library, and the ids of a text are those of its pieces.
+    """
+
+    def __init__(self, definition: str) -> None:
+        from tokenizers import Tokenizer
+
+        self.tool = Tokenizer.from_str(definition)
+        self.tool.encode_special_tokens = True
+        # in a byte-level vocabulary the letter for a blank is the one that follows 255 others
+        self.blank = np.zeros(self.tool.get_vocab_size(), bool)
+        self.blank[[i for t, i in self.tool.get_vocab().items() if t[0] == chr(256 + 32)]] = True
+        self.line = self.tool.encode("\n").ids[0]
+        # two generations, so that frequent pieces stay when the memory is full
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of pieces, many in a row where a token tells where the next one begins: one that
+        begins with a blank, or a line end put between pieces without white space."""
+        kinds: tuple[list, list, list] = [], [], []
+        for p in pieces:
+            t = p.decode()
+            parts = t.split()
+            alone = len(parts) == 1
+            kinds[0 if alone and t == " " + parts[0] else 1 if alone and t == parts[0] else 2].append((p, t))
+        out = {}
+        for kind, between in ((0, ""), (1, "\n")):
+            rows = [kinds[kind][i : i + 100] for i in range(0, len(kinds[kind]), 100)]
+            for i in range(0, len(rows), 100):
+                part = rows[i : i + 100]
+                for row, x in zip(part, self.tool.encode_batch_fast([between.join([t for _, t in r]) for r in part], add_special_tokens=False)):
+                    ids = np.array(x.ids, "<u4")
+                    raw, edge = ids.tobytes(), np.flatnonzero(ids == self.line if kind else self.blank[ids])
+                    ends = np.append(edge if kind else edge[1:], len(ids)) * 4
+                    starts = (np.concatenate([[0], edge + 1]) if kind else edge) * 4
+                    out.update(zip([p for p, _ in row], [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())], strict=True))
+        got = self.tool.encode_batch_fast([t for _, t in kinds[2]], add_special_tokens=False)
+        out.update((p, np.array(x.ids, "<u4").tobytes()) for (p, _), x in zip(kinds[2], got))
+        return out
+
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> pa.Array:
+        """The ids of every text as little-endian 32-bit numbers; a null text is empty."""
+        data, begin = flat(texts)
+        starts = cuts(data, begin) if len(data) else np.zeros(0, np.int64)
+        pieces = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data)).astype(np.int32)), pa.py_buffer(data)])
+        coded = pc.dictionary_encode(pieces)
+        distinct = coded.dictionary.to_pylist()
+        known, older = self.known, self.older
+        ids = list(map(known.get, distinct))
+        lost = [i for i, x in enumerate(ids) if x is None]
+        found = {distinct[i]: older[distinct[i]] for i in lost if distinct[i] in older}
+        found |= self._learn([p for i in lost if (p := distinct[i]) not in found])
+        for i in lost:
+            ids[i] = found[distinct[i]]
+        known.update((p, x) for p, x in found.items() if len(p) <= LONG)
+        if len(known) > MEMORY:
+            self.known, self.older = {}, known
+        # the ids of all pieces in their order, and the end id as one more piece of every text
+        ids.append(b"" if end_id is None else np.array([end_id], "<u4").tobytes())
+        size = np.fromiter(map(len, ids), np.int32, len(ids)) >> 2
+        all_ids, spot = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size, dtype=np.int32) - size
+        close = np.searchsorted(starts, begin[1:])
+        which = np.insert(coded.indices.to_numpy(zero_copy_only=False), close, len(ids) - 1)
+        count = size[which]
+        ends = np.cumsum(count, dtype=np.int32)
+        place = np.repeat(spot[which] - (ends - count), count)
+        place += np.arange(len(place), dtype=np.int32)
+        offsets = np.concatenate([[0], ends[close + np.arange(len(texts))] * 4]).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(all_ids[place])])
+
+
+#: The encoder of a worker process, kept for the tasks that follow.
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(definition: str) -> Encoder:
+    if definition not in _encoders:
+        _encoders.clear()
+        _encoders[definition] = Encoder(definition)
+    return _encoders[definition]
+
+
 def encoded(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 0) -> DataFrame:
     """doc_id and ids (little-endian 32-bit numbers in one binary value, ``end_id`` last), row by row.
 
-    ``tokenizer`` is a file of the tokenizers library.  A null text is an empty one: only the end
-    id.  Special tokens are not added, and their names in a text are ordinary text.
+    ``tokenizer`` is a file of the tokenizers library with a byte-level vocabulary and nothing
+    that changes a text before (other files are refused).  A null text is an empty one: only the
+    end id.  Special tokens are not added, and their names in a text are ordinary text.
     """
-    context = docs.sparkSession.sparkContext
     with open(tokenizer, encoding="utf-8") as f:
-        setup = context.broadcast(f.read())
+        definition = f.read()
+    parts = json.loads(definition)
+    before = parts.get("pre_tokenizer") or {}
+    if parts.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+        raise ValueError("a byte-level vocabulary without changes to the text is needed")
+    setup = docs.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tool = Tokenizer.from_str(setup.value)
-        tool.encode_special_tokens = True
-        end = np.array([end_id], "<u4").tobytes()
+        tool = _encoder(setup.value)
         for batch in batches:
             ends = np.cumsum(batch.column(2).to_numpy(zero_copy_only=False))
             at = 0
             while at < len(batch):
                 to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TEXTS, "right")))
-                texts = batch.column(1).slice(at, to - at).to_pylist()
-                got = [np.array(x.ids, "<u4").tobytes() + end for x in tool.encode_batch_fast(texts, add_special_tokens=False)]
-                yield pa.record_batch([batch.column(0).slice(at, to - at), pa.array(got, pa.binary())], ["doc_id", "ids"])
+                got = tool.encode(batch.column(1).slice(at, to - at), end_id)
+                yield pa.record_batch([batch.column(0).slice(at, to - at), got], ["doc_id", "ids"])
                 at = to
         release()
 

@@ -259,3 +259,16 @@ def test_manifest_query_finds_tampered_rows(spark, sf):
     for r in merkle.op13(spark, sf).collect():
         changed = zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 and re.search("[A-Z]", texts[r["doc_id"]] or "")
         assert r["verified"] == (not changed)
+
+
+def test_pieces_are_encoded_as_whole_texts():
+    """Cuts, memory generations and rows of pieces change no id."""
+    with open(TOKENIZER, encoding="utf-8") as f:
+        tool, whole = packed.Encoder(f.read()), Tokenizer.from_file(TOKENIZER)
+    parts = ["\n", "don", "t", "re", ".", ",", "\r\n", "a", "B", "1", "'", "'s", " ", " ", "  ", "\t", "\xa0", "　", "é", "漢", "\x1c", "\x85", "-", "<|end", "🙂", "​", "᠎", " "]
+    rng = random.Random(1)
+    for _ in range(10):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(2000)]
+        want = [x.ids + [0] for x in whole.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(x.as_py(), "<u4").tolist() for x in tool.encode(packed.pa.array(texts), 0)] == want
+        tool.known, tool.older = {}, tool.known
