@@ -237,7 +237,10 @@ def planted(doc_id: Column, text: Column) -> Column:
     n = F.size(words).cast("bigint")
     a = g % n
     p = 1 + F.floor((n - a) / (3 + g % 8))
-    repeated = F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+    # whole slices: an expression that is looked into word by word would be split for each of them
+    period = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+    tail = F.slice(F.flatten(F.array_repeat(period, F.ceil((n - a) / p).cast("int"))), F.lit(1), (n - a).cast("int"))
+    repeated = F.concat(F.slice(words, F.lit(1), a.cast("int")), tail)
     return F.when((h % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(text)
 
 
