@@ -55,14 +55,16 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return out
 
 
-def _lifted(x: np.ndarray, longest: float) -> np.ndarray:
-    """Vectors divided by the greatest length, with the component that brings all to length 1."""
-    x = x / longest
+def _lifted(x: np.ndarray, peak: float, longest: float) -> np.ndarray:
+    """Vectors divided by the greatest length, with the component that brings all to length 1.
+    ``longest`` is that length in units of ``peak``."""
+    x = x / peak / longest
     return np.column_stack([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))])
 
 
 def _asked(x: np.ndarray) -> np.ndarray:
     """Queries have nothing to add: of length 1, with an additional component of 0."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # lengths of very long or short ones are no numbers
     return np.column_stack([x / np.sqrt((x * x).sum(axis=1, keepdims=True)), np.zeros(len(x))])
 
 
@@ -182,7 +184,9 @@ def top(scores: np.ndarray, q: np.ndarray, v: np.ndarray, same: np.ndarray, ids:
     A product of matrices may differ in the last bits from column to column; so everything near
     the border is kept, added up component by component in one order, and then ranked.
     """
-    scores = np.where(same, -np.inf, scores)
+    # products beyond the largest number depend on the order of their sum: such rows keep all columns
+    beyond = ~np.isfinite(scores).all(axis=1)
+    scores = np.where(same | np.isnan(scores), -np.inf, scores)
     names, back, often = np.unique(ids, return_inverse=True, return_counts=True)
     n = min(k, len(names))
     if len(names) < len(ids):  # the border is drawn among the best scores of the ids
@@ -191,10 +195,13 @@ def top(scores: np.ndarray, q: np.ndarray, v: np.ndarray, same: np.ndarray, ids:
     else:
         scores_ = scores
     border = np.partition(scores_, scores_.shape[1] - n, axis=1)[:, scores_.shape[1] - n]
-    r, c = np.nonzero((scores >= (border - 1e-9 * (1 + np.abs(border)))[:, None]) & ~same)
-    exact = np.zeros(len(r))
-    for i in range(q.shape[1]):
-        exact += q[r, i] * v[c, i]
+    with np.errstate(invalid="ignore", over="ignore"):
+        near = np.where(beyond | ~np.isfinite(border), -np.inf, border - 1e-9 * (1 + np.abs(border)))
+        r, c = np.nonzero((scores >= near[:, None]) & ~same)
+        exact = np.zeros(len(r))
+        for i in range(q.shape[1]):
+            exact += q[r, i] * v[c, i]
+    exact = np.where(np.isnan(exact), -np.inf, exact)
     order = np.lexsort((ids[c], -exact, r))
     r, c, exact = r[order], c[order], exact[order]
     if len(names) < len(ids):
@@ -210,7 +217,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "
     Both tables have an id and a vector; a query's own id is no candidate.  Null, zero and not
     finite vectors take no part on either side; vectors of different lengths are compared as if
     the shorter were filled up with zeros.  An id that repeats counts once, with its best score.
-    Fewer candidates than ``k`` give fewer rows, an empty table none.
+    A score beyond the largest number is infinite, and one whose parts are infinite with both signs
+    counts as minus infinity.  Fewer candidates than ``k`` give fewer rows, an empty table none.
     """
     spark = vectors.sparkSession
 
@@ -221,18 +229,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "
     # equal rows are one; -0.0 is 0.0
     base = clean(vectors).select("id", F.transform("v", lambda x: x + F.lit(0.0)).alias("v")).distinct()
     asked = clean(queries)
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+    most = F.max(F.array_max(F.transform("v", F.abs)))
     kind = "id bigint, v array<double>"
     base = stored(base, "vectors")
-    n, dim, longest = base.agg(F.count(F.lit(1)), F.max(F.size("v")), F.max(length)).first()
+    n, dim, peak = base.agg(F.count(F.lit(1)), F.max(F.size("v")), most).first()
     if not n:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    other = asked.agg(F.max(F.size("v")), F.max(length)).first()
-    dim, longest = max(dim, other[0] or 0), max(longest, other[1] or 0.0)
+    dim = max(dim, asked.agg(F.max(F.size("v"))).first()[0] or 0)
+    # lengths in units of the largest component: their squares neither overflow nor vanish
+    longest = base.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / peak) * (x / peak))))).first()[0]
 
     share = min(1.0, 2.0 * SAMPLE / n)
     picked = base.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) <= int(share * (1 << 30))).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toArrow()
-    sample = _lifted(_matrix(picked.column("v").combine_chunks(), dim), longest)
+    sample = _lifted(_matrix(picked.column("v").combine_chunks(), dim), peak, longest)
     lists = int(max(1, min(MOST_LISTS, n // LIST_ROWS, len(sample) // 4)))
     centroids = balanced_centroids(sample, lists, np.random.default_rng(7))
     # groups of lists that follow each other along the direction in which centroids differ most
@@ -264,7 +273,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "
         return rows, ids[rows, columns]
 
     schema = f"group int, {kind}, lists array<int>"
-    indexed = stored(base.mapInArrow(places(lambda x: _lifted(x, longest), POOL, np.inf, _homes), schema), "posting_lists")
+    indexed = stored(base.mapInArrow(places(lambda x: _lifted(x, peak, longest), POOL, np.inf, _homes), schema), "posting_lists")
     wanted = stored(asked.mapInArrow(places(_asked, QUERY_POOL, RATIO, probes), schema), "probes")
 
     # at most GROUPS rows

@@ -68,16 +68,18 @@ def has_bit(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
 PASS_BITS = 1 << 24
 
 
-def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id", once: DataFrame | None = None) -> DataFrame:
-    """The rows of ``docs`` whose ``key`` is none of ``ids``; of the keys in ``once``, one row each.
+def fresh(name: str, columns: list[str]) -> str:
+    """A column name that is not among ``columns``."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
 
-    A row whose bit is not set is in neither list and goes straight through.  Only the others,
-    which are about as many as are named, are joined, so texts that stay are not shuffled.
-    """
-    context = docs.sparkSession.sparkContext
-    named = ids.select(F.col(ids.columns[0]).alias("_id")).where("_id is not null")
-    single = (once.select(F.col(once.columns[0]).alias("_id")) if once is not None else named.limit(0)).where("_id is not null")
-    kept = context.broadcast(bit_map(named.union(single), F.xxhash64("_id"), PASS_BITS))
+
+def _dealt(docs: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame, str]:
+    """Rows that a bit map of ``ids`` does not know, the other rows, and the name under which
+    ``ids`` may be joined to these."""
+    bit, name = fresh("_bit", docs.columns), fresh("_id", docs.columns)
+    kept = docs.sparkSession.sparkContext.broadcast(bit_map(ids, F.xxhash64(ids.columns[0]), PASS_BITS))
 
     def part(known: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,11 +89,32 @@ def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id", once: DataFram
                 yield pa.record_batch(rows.columns[1:], rows.schema.names[1:])
         return run
 
-    marked = docs.select(F.pmod(F.xxhash64(key), F.lit(PASS_BITS)).alias("_bit"), *docs.columns)
-    sure = marked.mapInArrow(part(False), docs.schema)
-    unsure = marked.mapInArrow(part(True), docs.schema).join(named.distinct(), F.col(key) == F.col("_id"), "left_anti")
+    marked = docs.select(F.pmod(F.xxhash64(key), F.lit(PASS_BITS)).alias(bit), *docs.columns)
+    return marked.mapInArrow(part(False), docs.schema), marked.mapInArrow(part(True), docs.schema), name
+
+
+def _named(ids: DataFrame, name: str) -> DataFrame:
+    return ids.select(F.col(ids.columns[0]).alias(name)).where(F.col(name).isNotNull())
+
+
+def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id", once: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is none of ``ids``; of the keys in ``once``, one row each.
+
+    A row whose bit is not set is in neither list and goes straight through.  Only the others,
+    which are about as many as are named, are joined, so texts that stay are not shuffled.
+    """
+    named = _named(ids, "id")
+    single = _named(once, "id") if once is not None else named.limit(0)
+    sure, unsure, name = _dealt(docs, named.union(single), key)
+    unsure = unsure.join(_named(named, name).distinct(), F.col(key) == F.col(name), "left_anti")
     if once is None:
         return sure.union(unsure)
-    flagged = unsure.join(single.distinct(), F.col(key) == F.col("_id"), "left")
-    repeated = flagged.where("_id is not null").dropDuplicates([key])
-    return sure.union(flagged.where("_id is null").select(*docs.columns)).union(repeated.select(*docs.columns))
+    flagged = unsure.join(_named(single, name).distinct(), F.col(key) == F.col(name), "left")
+    repeated = flagged.where(F.col(name).isNotNull()).dropDuplicates([key])
+    return sure.union(flagged.where(F.col(name).isNull()).select(*docs.columns)).union(repeated.select(*docs.columns))
+
+
+def among(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is one of ``ids``."""
+    _, unsure, name = _dealt(docs, _named(ids, "id"), key)
+    return unsure.join(_named(ids, name).distinct(), F.col(key) == F.col(name), "left_semi")

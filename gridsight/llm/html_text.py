@@ -50,8 +50,8 @@ ENDS = {
     "th": (frozenset(["td", "th"]), frozenset(["table", "tr"])),
     "option": (frozenset(["option"]), frozenset(["select", "optgroup"])),
 }
-#: Elements of which no more than this many are kept open; deeper ones go to the innermost of them.
-DEPTH = 512
+#: An end tag of the first kinds ends nothing outside an open element of the second kinds.
+HELD, HOLDERS = frozenset("p li dd dt div span".split()), frozenset("td th table article main".split())
 SIBLING_SHARE = 0.2
 MENU_LINKS, MENU_DENSITY = 3, 0.9
 
@@ -96,6 +96,7 @@ class _Page:
     def __init__(self) -> None:
         self.parent, self.tag, self.gone = [-1], ["#root"], [False]
         self.open, self.segments = [0], []  # segments: (element, text, length of link text, links)
+        self.depths: dict[str, list[int]] = {}  # per tag, how deep its open elements lie
         self.parts: list[str] = []
         self.link_parts, self.links, self.anchor_at = 0, 0, 0  # anchor_at: depth of the block that holds the open link
 
@@ -117,10 +118,16 @@ class _Page:
 
     def pop_to(self, size: int) -> None:
         self.flush()
+        for i in self.open[size:]:
+            self.depths[self.tag[i]].pop()
         del self.open[size:]
         if self.anchor_at > size:
             self.anchor_at = 0
 
+    def deepest(self, tags: frozenset[str]) -> int:
+        """The depth of the innermost open element of one of these tags; 0 if there is none."""
+        return max((d[-1] for t in tags if (d := self.depths.get(t))), default=0)
+
     def start(self, tag: str, attributes: str) -> None:
         if tag == "br" or tag == "hr":
             self.parts.append(" ")
@@ -140,23 +147,17 @@ class _Page:
                     if kind not in HEADINGS:
                         break
             if tag in ENDS:
-                ended, within = ENDS[tag]
-                for at in range(len(self.open) - 1, 0, -1):
-                    kind = self.tag[self.open[at]]
-                    if kind in ended:
-                        self.pop_to(at)
-                        break
-                    if kind in within:
-                        break
+                at = self.deepest(ENDS[tag][0])
+                if at > self.deepest(ENDS[tag][1]):
+                    self.pop_to(at)
             if tag in HEADINGS and self.tag[self.open[-1]] in HEADINGS:
                 self.pop_to(len(self.open) - 1)
             self.flush()
-            if len(self.open) >= DEPTH:
-                self.pop_to(DEPTH - 1)
             up = self.open[-1]
             self.parent.append(up)
             self.tag.append(tag)
             self.gone.append(self.gone[up] or _left_out(tag, attributes))
+            self.depths.setdefault(tag, []).append(len(self.open))
             self.open.append(len(self.parent) - 1)
 
     def end(self, tag: str) -> None:
@@ -165,13 +166,10 @@ class _Page:
         elif tag == "br":
             self.parts.append(" ")
         elif tag in BLOCKS and tag not in ("html", "body"):
-            for at in range(len(self.open) - 1, 0, -1):
-                kind = self.tag[self.open[at]]
-                if kind == tag or tag in HEADINGS and kind in HEADINGS:
-                    self.pop_to(at)
-                    return
-                if kind in ("td", "th", "table", "article", "main") and tag in ("p", "li", "dd", "dt", "div", "span"):
-                    break
+            at = self.deepest(HEADINGS if tag in HEADINGS else frozenset([tag]))
+            if at > (self.deepest(HOLDERS) if tag in HELD else 0):
+                self.pop_to(at)
+                return
             self.flush()
 
 
