@@ -24,7 +24,7 @@ from .words import release
 
 #: Bytes of text encoded at once, and words and bytes contracted by one query.
 BLOCK, WORDS, WORD_BYTES = 2 << 20, 60_000, 1 << 20
-#: Words that a worker remembers between blocks.
+#: Words that a worker remembers between blocks, per generation.
 MEMORY = 300_000
 #: Parts of words above this length are contracted by the same rule with a heap: a recursive
 #: query copies its rows once per merge, so its work would grow with the square of the length.
@@ -34,16 +34,16 @@ CONTRACT = """
 WITH RECURSIVE step AS (
   SELECT w, p, t, false AS done FROM start
   UNION ALL
-  SELECT w, p, CASE WHEN p = best_p THEN best_m ELSE t END AS t, best_m IS NULL AS done
-  FROM (
-    SELECT w, p, t, best & 1099511627775 AS best_p, CAST(best >> 40 AS INTEGER) AS best_m, lag(p) OVER (PARTITION BY w ORDER BY p) AS before
+  (WITH pairs AS MATERIALIZED (
+    SELECT s.w, s.p, s.t, s.before, (CAST(m.r AS BIGINT) << 40) | s.p AS merge
     FROM (
-      SELECT s.w, s.p, s.t, min((CAST(m.r AS BIGINT) << 40) | s.p) OVER (PARTITION BY s.w) AS best
-      FROM (SELECT w, p, t, lead(t) OVER (PARTITION BY w ORDER BY p) AS n FROM step WHERE NOT done) s
-      LEFT JOIN merges m ON m.a = s.t AND m.b = s.n
-    )
-  )
-  WHERE best_m IS NULL OR before IS DISTINCT FROM best_p
+      SELECT w, p, t, (CAST(t AS BIGINT) << 32) | lead(t) OVER along AS ab, lag(p) OVER along AS before
+      FROM step WHERE NOT done WINDOW along AS (PARTITION BY w ORDER BY p)
+    ) s LEFT JOIN merges m ON m.ab = s.ab
+  ), least_of AS (SELECT w, min(merge) AS best FROM pairs GROUP BY w)
+  SELECT s.w, s.p, CASE WHEN s.merge = b.best THEN CAST(b.best >> 40 AS INTEGER) ELSE s.t END, b.best IS NULL
+  FROM pairs s JOIN least_of b ON s.w = b.w
+  WHERE b.best IS NULL OR s.before IS DISTINCT FROM (b.best & 1099511627775))
 )
 SELECT w, t FROM step WHERE done ORDER BY w, p
 """
@@ -71,7 +71,9 @@ class Codec:
         self.rank = {t: i for i, t in enumerate(tokens)}
         self.single = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
         self.pattern = regex.compile(pattern)
+        # two generations, so that frequent words stay when the memory is full
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pairs = {(int(a), int(b)): int(r) for a, b, r in zip(*merges)}
         # neighbours that no token holds are never joined: a word falls apart between them
         self.joined = np.zeros((256, 256), bool)
@@ -80,7 +82,7 @@ class Codec:
                 x = np.frombuffer(t, np.uint8)
                 self.joined[x[:-1], x[1:]] = True
         self.sql = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
-        self._table("merges", a=merges[0], b=merges[1], r=merges[2])
+        self._table("merges", ab=merges[0].astype(np.int64) << 32 | merges[1], r=merges[2])
         self._table("vocabulary", t=np.arange(len(tokens), dtype=np.int32), piece=[t.decode("latin-1") for t in tokens])
 
     def _table(self, name: str, **columns) -> None:
@@ -139,9 +141,9 @@ class Codec:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of every text as little-endian 32-bit numbers; a null text has none."""
         words = [self.pattern.findall(x) if x else [] for x in texts]
+        if len(self.known) > MEMORY:
+            self.known, self.older = {}, self.known
         new = set().union(*words).difference(self.known)
-        if len(self.known) + len(new) > MEMORY:
-            self.known, new = {}, set().union(*words)
         open_words, held = [], 0
 
         def finish() -> None:
@@ -149,6 +151,9 @@ class Codec:
             open_words.clear()
 
         for w in new:
+            if w in self.older:
+                self.known[w] = self.older[w]
+                continue
             piece = w.encode()
             r = self.rank.get(piece)
             if r is not None:
