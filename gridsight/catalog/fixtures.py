@@ -5,7 +5,7 @@ The given tables have no facility figures, so these are computed from their keys
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridsight.catalog.base import scratch
 from gridsight.operators.location import enrich_location
@@ -171,6 +171,12 @@ def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_text(spark, sf_dir).selectExpr("cast(doc_id as string) as doc", "translate(text, '\n', '\f') as text")
 
 
+def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report texts with a page break at every third sentence end and a line break at the others."""
+    lines = F.regexp_replace("text", "([.]) ", "$1\n")
+    return report_text(spark, sf_dir).select(F.col("doc_id").cast("string").alias("doc"), F.regexp_replace(lines, "(\n[^\n]*\n[^\n]*)\n", "$1\f").alias("text"))
+
+
 def pages_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with a section, two tables, report links and a script at the end."""
     return table(spark, sf_dir, "pages").selectExpr(
@@ -207,3 +213,64 @@ def source_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         """cast(case when (case s_suppkey % 3 when 0 then l_linenumber % 3 when 1 then 1 + l_linenumber % 2 else 2 end) = 1
              then l_partkey % 5 else 0 end as int) as hit""",
     )
+
+
+# -- a whole extraction: four pages and sixteen reports per company ("Site" and a number k)
+
+_TIER_OF = "case k % 3 when 0 then 'Tier 1 - Global Hyperscaler' when 1 then 'Tier 2 - Indian Operator' else 'Tier 3 - Global Colocation' end"
+
+
+def run_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with figures, or with links to reports that have them, or with neither, by company."""
+    sentence = "concat('<p>The data center achieved a PUE of 1.', cast(page_id % 90 + 10 as string), ' in 2025 near Mumbai.</p>')"
+    return table(spark, sf_dir, "pages").selectExpr(
+        "page_id",
+        "url",
+        f"""concat(html, case
+             when k % 5 = 0 and page_id % 4 = 0 then {sentence}
+             when k % 5 = 2 and page_id % 4 = 3 then {sentence}
+             when k % 5 = 4 and page_id % 4 >= 2 then {sentence}
+             when k % 5 = 4 and page_id % 4 = 1 then '<p>It runs on 65% renewable energy.</p>' else '<p>Nothing.</p>' end,
+           '<a href="/reports/', cast(page_id as string), '.PDF">r</a><a href="https://files.example.org/', cast(page_id as string), '/x.pdf">x</a>',
+           '<a href="rel/', cast(page_id as string), '.pdf">y</a><a href="/late/', cast(page_id as string), '.pdf">z</a>') as html""".replace("k % 5", "floor(page_id / 4) % 5"),
+    )
+
+
+def run_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies with two pages and one report; every third one has two listed facilities."""
+    pages = table(spark, sf_dir, "pages").where("page_id % 4 < 2").selectExpr("cast(floor(page_id / 4) as bigint) as k", "page_id % 4 as i", "url")
+    urls = pages.groupBy("k").pivot("i", [0, 1]).agg(F.first("url")).withColumnsRenamed({"0": "u0", "1": "u1"})
+    return urls.selectExpr(
+        "concat('Site', cast(k as string)) as name", f"{_TIER_OF} as tier", "case when k % 3 = 1 then 'India' else 'Global' end as region",
+        "filter(array(u0, concat('https://files.example.org/', cast(4 * k as string), '/annual.pdf'), u1), u -> u is not null) as urls",
+        """case when k % 3 = 1 then array(
+             named_struct('facility_name', 'a', 'city', 'navi mumbai', 'capacity_mw', cast(k % 60 + 1 as decimal(10,2)), 'rack_count', cast(k % 70 as int) * 100,
+               'pue_design', cast((k % 40 + 130) * 0.01 as decimal(5,3)), 'source_type', 'specification'),
+             named_struct('facility_name', 'b', 'city', 'Bombay', 'capacity_mw', cast(k % 30 + 2 as decimal(10,2)), 'rack_count', cast(k % 50 as int) * 100,
+               'pue_design', cast((k % 30 + 140) * 0.01 as decimal(5,3)), 'source_type', 'press_release')) end as facilities""",
+    )
+
+
+def run_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as reports: four per page, at the addresses that the pages link to."""
+    pages = dimension(spark, sf_dir, "pages").select("page_id", "url")
+    docs = report_text(spark, sf_dir).join(table(spark, sf_dir, "documents").selectExpr("doc_id as d", "text as plain"), F.col("doc_id") == F.col("d"))
+    return docs.join(pages, F.expr("page_id = doc_id div 4")).selectExpr(
+        "doc_id",
+        """case doc_id % 4 when 0 then concat(regexp_extract(url, '^(https?://[^/?#]*)', 1), '/reports/', cast(page_id as string), '.PDF')
+           when 1 then concat('https://files.example.org/', cast(page_id as string), '/x.pdf')
+           when 2 then concat(regexp_extract(url, '^(https?://[^?#]*/)', 1), 'rel/', cast(page_id as string), '.pdf')
+           else case when page_id % 4 = 0 then concat('https://files.example.org/', cast(page_id as string), '/annual.pdf')
+             else concat(regexp_extract(url, '^(https?://[^/?#]*)', 1), '/late/', cast(page_id as string), '.pdf') end end as url""",
+        "case when floor(page_id / 4) % 5 = 1 then text else plain end as text",
+    )
+
+
+def run_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three results per query: nowhere, a report, and one of two pages; the second page of a
+    company with an odd number is the sixth address."""
+    pages = table(spark, sf_dir, "pages").where("page_id % 4 >= 2").selectExpr("cast(floor(page_id / 4) as bigint) as k", "page_id % 4 as i", "url")
+    found = pages.selectExpr("k", "case when i = 2 then 0 when k % 2 = 0 then 1 else 2 end as query_no", "3 as pos", "url")
+    other = pages.where("i = 2").selectExpr("k", "explode(sequence(0, 2)) as query_no").selectExpr(
+        "k", "query_no", "inline(array(struct(1 as pos, concat('https://none.example.org/', cast(k as string), '/', cast(query_no as string)) as url), struct(2 as pos, concat('https://files.example.org/', cast(k as string), '/hit.pdf') as url)))")
+    return found.unionByName(other).selectExpr("concat('Site', cast(k as string)) as company", "query_no", "pos", "concat_ws('-', cast(k as string), cast(query_no as string), cast(pos as string)) as hit_id", "url")

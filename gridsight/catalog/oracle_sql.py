@@ -234,6 +234,9 @@ SELECT doc_id, {WUE} AS wue, {RENEWABLE} AS renewable, {CAPACITY} AS capacity, {
 FROM report_text""")
 cte("report_pages", ["report_text"], "SELECT doc_id::VARCHAR AS doc, replace(text, chr(10), chr(12)) AS text FROM report_text")
 
+cte("report_lines", ["report_text"], r"""
+SELECT doc_id::VARCHAR AS doc, regexp_replace(regexp_replace(text, '([.]) ', '\1' || chr(10), 'g'), '(\n[^\n]*\n[^\n]*)\n', '\1' || chr(12), 'g') AS text FROM report_text""")
+
 cte("pages_ext", [], """
 SELECT page_id, url, html || '<section class="facts"><p>The data center achieved a PUE of 1.' || (page_id % 90 + 10)::VARCHAR ||
   ' in 2025.</p></section><table><tr></tr><tr><th>Site</th><th>PUE</th></tr><tr><td>S' || page_id::VARCHAR ||

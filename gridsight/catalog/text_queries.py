@@ -118,10 +118,13 @@ def _(spark, sf):
 
 # What is left of a page without hidden parts, split at its tags.  Enough for these pages, whose
 # attributes hold no ">" and whose entities are these four.
-_PIECES = """
-list_filter(list_transform(string_split_regex(regexp_replace(html, '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>', '<x>', 'g'), '<[^>]*>'),
-  lambda x: trim(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&'), chr(10) || chr(13) || chr(9) || ' ')), lambda x: x <> '')"""
-_VISIBLE = f"SELECT page_id, array_to_string({_PIECES}, ' ') AS full_text FROM pages_ext"
+def visible_text(html: str) -> str:
+    return f"""array_to_string(
+list_filter(list_transform(string_split_regex(regexp_replace({html}, '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>', '<x>', 'g'), '<[^>]*>'),
+  lambda x: trim(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&'), chr(10) || chr(13) || chr(9) || ' ')), lambda x: x <> ''), ' ')"""
+
+
+_VISIBLE = f"SELECT page_id, {visible_text('html')} AS full_text FROM pages_ext"
 
 
 @query("txt15_html_text", with_ctes(_VISIBLE, "pages_ext"))
@@ -200,13 +203,13 @@ def _(spark, sf):
 
 
 @query("txt23_search_pages", with_ctes("""
-SELECT doc_id::VARCHAR AS doc, 1 AS page_num, i::INTEGER AS line_num, trim(l[i], chr(13) || chr(9) || ' ') AS line,
+SELECT doc, page_num::INTEGER AS page_num, i::INTEGER AS line_num, trim(l[i], chr(13) || chr(9) || ' ') AS line,
   trim(array_to_string(l[greatest(i - 2, 1):i + 2], chr(10)), chr(10) || chr(13) || chr(9) || ' ') AS context
-FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM report_text), unnest(range(1, len(l) + 1)) AS u(i)
-WHERE contains(lower(l[i]), 'pue')""", "report_text"))
+FROM (SELECT doc, j AS page_num, string_split(p[j], chr(10)) AS l FROM (SELECT doc, string_split(text, chr(12)) AS p FROM report_lines), unnest(range(1, len(p) + 1)) AS v(j)),
+  unnest(range(1, len(l) + 1)) AS u(i)
+WHERE contains(lower(l[i]), 'pue')""", "report_lines"))
 def _(spark, sf):
-    pages = X.report_text(spark, sf).select(F.col("doc_id").cast("string").alias("doc"), F.lit(1).alias("page_num"), "text")
-    return search.search_pages(pages, "PUE")
+    return search.search_pages(search.split_pages(X.report_lines(spark, sf), "doc", "text"), "PUE")
 
 
 @query("txt24_join_pages", with_ctes("SELECT doc_id::VARCHAR AS doc, text FROM report_text", "report_text"))
@@ -245,7 +248,7 @@ def _(spark, sf):
 
 
 @query("txt28_extraction_summary", with_ctes(
-    "SELECT count(*) AS records_extracted, count(DISTINCT company) AS companies_with_data, count(pue_value) AS records_with_pue FROM raw_pue",
-    "raw_pue"))
+    "SELECT (SELECT count(*) FROM registry) AS companies_processed, count(*) AS records_extracted, count(DISTINCT company) AS companies_with_data, count(pue_value) AS records_with_pue FROM raw_pue",
+    "raw_pue", "registry"))
 def _(spark, sf):
-    return records.extraction_summary(X.raw_pue(spark, sf))
+    return records.extraction_summary(X.raw_pue(spark, sf), X.registry(spark, sf))

@@ -118,9 +118,13 @@ def first_source_with_data(candidates: DataFrame, key: str = "company", spread:
     return salted_join(candidates, best, [key, "stage", "hit"], "left_semi", spread)
 
 
-def extraction_summary(records: DataFrame) -> DataFrame:
-    return records.agg(
-        F.count(F.lit(1)).alias("records_extracted"),
+def extraction_summary(records: DataFrame, companies: DataFrame) -> DataFrame:
+    """Counters of a run over ``companies``, in one row."""
+    found = records.select("company", "pue_value", F.lit(False).alias("_asked"))
+    asked = companies.select(F.lit(None).cast("string").alias("company"), F.lit(None).cast(found.schema["pue_value"].dataType).alias("pue_value"), F.lit(True).alias("_asked"))
+    return found.unionByName(asked).agg(
+        F.count_if("_asked").alias("companies_processed"),
+        F.count_if(~F.col("_asked")).alias("records_extracted"),
         F.count_distinct("company").alias("companies_with_data"),
         F.count("pue_value").alias("records_with_pue"),
     )

@@ -67,3 +67,19 @@ def unique_hits(hits: DataFrame, per_query: int = 5) -> DataFrame:
 def official_hits(hits: DataFrame) -> DataFrame:
     """Hits whose address contains the company name written without blanks."""
     return hits.filter(contains_blank_free(F.col("url"), F.col("company")))
+
+
+def first_hits(hits: DataFrame, n: int = 5, per_query: int = 5) -> DataFrame:
+    """The first ``n`` different addresses of every company with their place (``hit_no`` from 1);
+    report files among them are left out and not replaced."""
+    order = [F.col("query_no"), F.col("pos"), F.col("hit_id")]
+    top = first_n_per_key(unique_hits(hits, per_query), ["company"], order, n, "hit_no")
+    return top.filter(~F.col("url").endswith(".pdf"))
+
+
+def official_results(hits: DataFrame, per_query: int = 5) -> DataFrame:
+    """The first hits of every query at the company's own address, each address once: the filter
+    comes before the choice of one hit per address."""
+    order = [F.col("pos"), F.col("hit_id")]
+    top = first_n_per_key(hits, ["company", "query_no"], order, per_query, "_n").drop("_n")
+    return first_per_key(official_hits(top), ["company", "url"], [F.col("query_no"), *order])
