@@ -208,8 +208,8 @@ def _(spark, sf):
     facts, companies, locations = X.star(spark, sf)
     known = locations.filter(F.col("country").isNotNull())
     return cleaning.append_all([
-        quality.orphans(facts, companies, "company_id").select(F.lit("company").alias("dim"), "fact_id"),
-        quality.orphans(facts, known, "location_id").select(F.lit("country_of_place").alias("dim"), "fact_id"),
+        quality.orphans(facts, companies, "company_id", hot=X.hot_keys(spark, sf)).select(F.lit("company").alias("dim"), "fact_id"),
+        quality.orphans(facts, known, "location_id", hot=X.hot_keys(spark, sf)).select(F.lit("country_of_place").alias("dim"), "fact_id"),
     ])
 
 
@@ -270,11 +270,12 @@ def _(spark, sf):
 
 
 @query("jn03_insert_company", with_ctes("""
-SELECT company_id, company_name, tier, region, false AS is_new FROM dim_company WHERE company_name < 'Supplier#000000005' UNION ALL
+SELECT company_id, company_name, 'as it was' AS tier, NULL::VARCHAR AS region, false AS is_new FROM dim_company WHERE company_name < 'Supplier#000000005' UNION ALL
 SELECT company_id, company_name, tier, region, true FROM dim_company WHERE company_name >= 'Supplier#000000005'""", "dim_company"))
 def _(spark, sf):
+    """Rows that are there differ from the candidates, and stay as they are."""
     found = star.company_candidates(X.warehouse_rows(spark, sf))
-    existing = found.filter("company_name < 'Supplier#000000005'").withColumn("is_new", F.lit(False))
+    existing = found.filter("company_name < 'Supplier#000000005'").withColumns({"tier": F.lit("as it was"), "region": F.lit(None).cast("string"), "is_new": F.lit(False)})
     return star.upserted(found.withColumn("is_new", F.lit(True)), existing, "company_id")
 
 
@@ -302,4 +303,4 @@ def _(spark, sf):
 def _(spark, sf):
     facts, companies, _ = X.star(spark, sf)
     some = companies.filter("company_name >= 'Supplier#000000003'")
-    return quality.orphans(facts, some, "company_id").select("fact_id", "company_id")
+    return quality.orphans(facts, some, "company_id", hot=X.hot_keys(spark, sf)).select("fact_id", "company_id")

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridsight.catalog.base import scratch
 from gridsight.operators.location import enrich_location
-from gridsight.operators.star import company_candidates, fact_rows, location_candidates
+from gridsight.operators.star import company_candidates, fact_rows, location_candidates, lookup_hot_keys
 from gridsight.plans.cleaning_run import clean
 from gridsight.plans.marts import staging
+from gridsight.plans.views import fact_hot_keys
 
 AS_OF = "2025-06-30"
 AS_OF_YEAR = 2025
@@ -128,7 +129,9 @@ def dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts computed against the stored dimensions."""
-    return fact_rows(warehouse_rows(spark, sf_dir), *dimensions(spark, sf_dir))[0]
+    rows = warehouse_rows(spark, sf_dir)
+    hot = stored(spark, sf_dir, "raw_hot_keys", lambda: lookup_hot_keys(rows))
+    return fact_rows(rows, *dimensions(spark, sf_dir), hot=hot)[0]
 
 
 def star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -136,6 +139,11 @@ def star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFr
     return stored(spark, sf_dir, "fact_efficiency", lambda: fact_load(spark, sf_dir)), *dimensions(spark, sf_dir)
 
 
+def hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts' frequent keys, kept beside the facts."""
+    return stored(spark, sf_dir, "fact_hot_keys", lambda: fact_hot_keys(star(spark, sf_dir)[0]))
+
+
 def report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with one sentence about a facility at the end."""
     n = "cast(doc_id % 90 + 10 as string)"

@@ -1,12 +1,11 @@
-"""Whole runs: extraction from pages to records."""
-
-from pyspark.sql import functions as F
+"""Whole runs: extraction from pages to records, loading into the star schema."""
 
 from gridsight.catalog import fixtures as X
 from gridsight.catalog.base import query, scratch
 from gridsight.catalog.oracle_sql import CTES, cte, with_ctes
 from gridsight.catalog.text_queries import visible_text
 from gridsight.operators import search
+from gridsight.plans import star_load
 from gridsight.plans.extraction_run import extraction_run
 
 # -- the same inputs and texts in SQL
@@ -127,3 +126,47 @@ SELECT hit_id, company, query_no, pos, url FROM (
     SELECT *, row_number() OVER (PARTITION BY company, query_no ORDER BY pos, hit_id) AS n FROM search_hits) WHERE n <= 5 AND contains(lower(url), replace(lower(company), ' ', ''))) WHERE u = 1""", "search_hits"))
 def _(spark, sf):
     return search.official_results(X.search_hits(spark, sf)).select("hit_id", "company", "query_no", "pos", "url")
+
+
+# -- loading in runs: "first" has some companies, "second" has all records and is loaded twice
+
+_FIRST_RUN = "company < 'Supplier#000000005'"
+
+
+def _loaded(spark, sf, table):
+    root, rows = scratch(spark, "star"), X.warehouse_rows(spark, sf)
+    star_load.load(rows.where(_FIRST_RUN), root, "first")
+    star_load.load(rows, root, "second")
+    star_load.load(rows, root, "second")
+    return star_load.read_star(spark, root, table)
+
+
+@query("jn05_load_facts", with_ctes(f"""
+SELECT sha256(id) AS fact_id, f.company_id, location_id, f.year, f.pue_value::DOUBLE AS pue_value, CASE WHEN {_FIRST_RUN} THEN 'first' ELSE 'second' END AS run
+FROM fact f JOIN enriched e ON f.fact_id = sha256(e.id)""", "fact", "enriched"))
+def _(spark, sf):
+    return _loaded(spark, sf, "fact").select("fact_id", "company_id", "location_id", "year", "pue_value", "run")
+
+
+@query("jn03_load_companies", with_ctes("""
+SELECT company_id, company_name, tier, region, CASE WHEN company_name < 'Supplier#000000005' THEN 'first' ELSE 'second' END AS run FROM dim_company""", "dim_company"))
+def _(spark, sf):
+    return _loaded(spark, sf, "dim_company")
+
+
+@query("jn04_load_places", with_ctes(f"""
+SELECT sha256(city || '|' || coalesce(country, '')) AS location_id, city, country, country_code, region, avg_temp_celsius::DOUBLE AS avg_temp_celsius,
+  CASE WHEN {_FIRST_RUN} THEN 'first' ELSE 'second' END AS run FROM (
+  SELECT *, row_number() OVER (PARTITION BY city, country ORDER BY CASE WHEN {_FIRST_RUN} THEN 0 ELSE 1 END, id) AS rn FROM enriched WHERE coalesce(city, '') <> '') WHERE rn = 1""", "enriched"))
+def _(spark, sf):
+    return _loaded(spark, sf, "dim_location")
+
+
+@query("snk03_load_counts", with_ctes(f"""
+SELECT run, count(*) AS raw, count(*) FILTER (ok) AS fact, count(*) FILTER (NOT ok) AS rejected FROM (
+  SELECT CASE WHEN {_FIRST_RUN} THEN 'first' ELSE 'second' END AS run, sha256(id) IN (SELECT fact_id FROM fact) AS ok FROM enriched) GROUP BY run""", "enriched", "fact"))
+def _(spark, sf):
+    root, rows = scratch(spark, "star"), X.warehouse_rows(spark, sf)
+    star_load.load(rows.where(_FIRST_RUN), root, "first")
+    star_load.load(rows, root, "second")
+    return star_load.runs(spark, root).select("run", "raw", "fact", "rejected")

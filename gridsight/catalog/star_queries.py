@@ -15,24 +15,24 @@ _FACT_NUMBERS = dbl("pue_value", "cooling_overhead_pct", "capacity_mw", "wue_l_p
 @query("jn01_fact_company", with_ctes("SELECT fact_id, company_name, tier FROM star_rows", "star_rows"))
 def _(spark, sf):
     facts, companies, _ = X.star(spark, sf)
-    return salted_join(facts, companies, ["company_id"], "inner", "fact_id").select("fact_id", "company_name", "tier")
+    return salted_join(facts, companies, ["company_id"], "inner", "fact_id", X.hot_keys(spark, sf)).select("fact_id", "company_name", "tier")
 
 
 @query("jn02_fact_location", with_ctes("SELECT fact_id, city, country FROM star_rows", "star_rows"))
 def _(spark, sf):
     facts, _, locations = X.star(spark, sf)
-    return salted_join(facts, locations, ["location_id"], "left", "fact_id").select("fact_id", "city", "country")
+    return salted_join(facts, locations, ["location_id"], "left", "fact_id", X.hot_keys(spark, sf)).select("fact_id", "city", "country")
 
 
 @query("jn08_star_relationships", with_ctes("SELECT fact_id, company_name, tier, city, country, avg_temp_celsius::DOUBLE AS avg_temp_celsius FROM star_rows", "star_rows"))
 def _(spark, sf):
-    return views.with_dimensions(*X.star(spark, sf)).select("fact_id", "company_name", "tier", "city", "country", "avg_temp_celsius")
+    return views.with_dimensions(*X.star(spark, sf), hot=X.hot_keys(spark, sf)).select("fact_id", "company_name", "tier", "city", "country", "avg_temp_celsius")
 
 
 @query("vw01_efficiency_leaderboard", with_ctes(
     f"SELECT company_name, tier, facility_name, city, country, year, pue_type, renewable_pct, {_FACT_NUMBERS} FROM star_rows", "star_rows"))
 def _(spark, sf):
-    return views.efficiency_leaderboard(*X.star(spark, sf))
+    return views.efficiency_leaderboard(*X.star(spark, sf), hot=X.hot_keys(spark, sf))
 
 
 @query("vw02_region_comparison", with_ctes(f"""
@@ -56,14 +56,14 @@ def _(spark, sf):
     "SELECT company_name, tier, country, " + dbl("avg_temp_celsius", "pue_value", "capacity_mw", "cooling_overhead_pct", "annual_waste_mwh")
     + ", round(annual_waste_mwh * 1000 * 0.82, 2)::DOUBLE AS annual_co2_tons FROM star_rows WHERE capacity_mw IS NOT NULL", "star_rows"))
 def _(spark, sf):
-    return views.climate_view(*X.star(spark, sf))
+    return views.climate_view(*X.star(spark, sf), hot=X.hot_keys(spark, sf))
 
 
 @query("vw05_design_vs_operating", with_ctes(
     "SELECT company_name, pue_type, pue_value::DOUBLE AS pue_value, year, facility_name FROM star_rows WHERE pue_type IN ('design', 'operating', 'TTM')", "star_rows"))
 def _(spark, sf):
     facts, companies, _ = X.star(spark, sf)
-    return views.design_vs_operating(facts, companies)
+    return views.design_vs_operating(facts, companies, X.hot_keys(spark, sf))
 
 
 @query("bi01_efficiency_category", with_ctes("""
@@ -76,7 +76,7 @@ def _(spark, sf):
 
 @query("bi02_is_india", with_ctes("SELECT fact_id, CASE WHEN country = 'India' THEN 'India' ELSE 'Global' END AS is_india FROM star_rows", "star_rows"))
 def _(spark, sf):
-    return measures.report_rows(*X.star(spark, sf)).select("fact_id", "is_india")
+    return measures.report_rows(*X.star(spark, sf), hot=X.hot_keys(spark, sf)).select("fact_id", "is_india")
 
 
 @query("bi03_pue_measures", with_ctes(
@@ -135,7 +135,7 @@ def _(spark, sf):
 @query("bi11_temperature_scatter", with_ctes(
     "SELECT fact_id, city, " + dbl("avg_temp_celsius", "pue_value", "capacity_mw") + " FROM star_rows", "star_rows"))
 def _(spark, sf):
-    return measures.report_rows(*X.star(spark, sf)).select("fact_id", "city", "avg_temp_celsius", "pue_value", "capacity_mw")
+    return measures.report_rows(*X.star(spark, sf), hot=X.hot_keys(spark, sf)).select("fact_id", "city", "avg_temp_celsius", "pue_value", "capacity_mw")
 
 
 @query("agg17_co2_by_company", with_ctes(

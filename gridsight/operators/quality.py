@@ -140,9 +140,9 @@ def unexpected_values(df: DataFrame, column: str, accepted: list, where: Column
     )
 
 
-def orphans(fact: DataFrame, dim: DataFrame, key: str, spread: str = "fact_id") -> DataFrame:
+def orphans(fact: DataFrame, dim: DataFrame, key: str, spread: str = "fact_id", hot: DataFrame | None = None) -> DataFrame:
     """Fact rows whose key is set but absent from the dimension."""
-    return salted_join(fact.filter(F.col(key).isNotNull()), dim.select(key), [key], "left_anti", spread)
+    return salted_join(fact.filter(F.col(key).isNotNull()), dim.select(key), [key], "left_anti", spread, hot)
 
 
 REQUIRED_OUTPUT = ["company", "pue_value", "tier", "city", "country", "year", "pue_type"]

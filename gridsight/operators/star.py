@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gridsight.functions.metrics import annual_waste_mwh, cooling_overhead_pct
 from gridsight.operators.dedup import first_in_input_order
-from gridsight.operators.joins import salted_join
+from gridsight.operators.joins import frequent_keys, salted_join
 from gridsight.operators.quality import split_by_constraints
 
 
@@ -47,23 +47,30 @@ def upserted(candidates: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     return existing.unionByName(absent_from(candidates, existing, key))
 
 
-def fact_rows(df: DataFrame, dim_company: DataFrame, dim_location: DataFrame, seq: str = "id") -> tuple[DataFrame, DataFrame]:
+def _with_keys(df: DataFrame) -> DataFrame:
+    has_city = F.coalesce("city", F.lit("")) != ""
+    return df.withColumns({"company_id": key_of("company"), "_place_key": F.when(has_city, key_of("city", "country"))})
+
+
+def lookup_hot_keys(df: DataFrame) -> DataFrame:
+    """The hot companies and places of rows that are to become facts; see ``frequent_keys``."""
+    return frequent_keys(_with_keys(split_by_constraints(df)[0]), ["company_id"], ["_place_key"])
+
+
+def fact_rows(df: DataFrame, dim_company: DataFrame, dim_location: DataFrame, seq: str = "id", hot: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Accepted facts and rejected rows with their reasons.
 
     A row whose company is not in the dimension is rejected as ``unknown_company``; an unknown
     place leaves the location key NULL.
     Both joins only look up keys and are salted, so large companies and places stay spread.
+    ``hot`` (``lookup_hot_keys`` of the rows) saves finding them anew for each join.
     """
     good, rejected = split_by_constraints(df)
     places = dim_location.select("location_id", F.col("location_id").alias("_place"))
-    has_city = F.coalesce("city", F.lit("")) != ""
-    keyed = good.withColumns(
-        {"company_id": key_of("company"), "_place_key": F.when(has_city, key_of("city", "country"))}
-    )
-    known = dim_company.select("company_id")
-    unknown = salted_join(keyed, known, ["company_id"], "left_anti", seq).select(*good.columns)
-    keyed = salted_join(keyed, known, ["company_id"], "left_semi", seq)
-    located = salted_join(keyed, places, {"_place_key": "_place"}, "left", seq)
+    known = dim_company.select("company_id", F.lit(True).alias("_known"))
+    keyed = salted_join(_with_keys(good), known, ["company_id"], "left", seq, hot)
+    unknown = keyed.where("_known is null").select(*good.columns)
+    located = salted_join(keyed.where("_known"), places, {"_place_key": "_place"}, "left", seq, hot)
     facts = located.select(
         F.sha2(F.col(seq), 256).alias("fact_id"),
         "company_id",

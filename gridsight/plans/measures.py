@@ -98,10 +98,10 @@ def operator_ranking(fact: DataFrame, dim_company: DataFrame) -> DataFrame:
     )
 
 
-def report_rows(fact: DataFrame, dim_company: DataFrame, dim_location: DataFrame) -> DataFrame:
+def report_rows(fact: DataFrame, dim_company: DataFrame, dim_location: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Facts with dimensions and the calculated columns of the report."""
     pue = F.col("pue_value")
-    return with_dimensions(fact, dim_company, dim_location).withColumns(
+    return with_dimensions(fact, dim_company, dim_location, hot).withColumns(
         {
             "efficiency_category": X.efficiency_category(pue),
             "is_india": X.region_group(F.col("country")),

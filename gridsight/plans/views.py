@@ -1,7 +1,9 @@
 """Views over the star schema.
 
 Row-level views join the dimensions with salt and without a hint: a dimension grows with the
-data, so Spark broadcasts it only while it is below the session's size limit.  Aggregate views first reduce the facts to one row per key and
+data, so Spark broadcasts it only while it is below the session's size limit.  ``hot`` is the table
+of the facts' frequent keys (``fact_hot_keys``), kept beside the facts: with it the facts are read
+once, whatever the number of dimensions.  Aggregate views first reduce the facts to one row per key and
 join the dimension afterwards, so a company with a third of the facts is one row by then.
 """
 
@@ -9,19 +11,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gridsight.functions import metrics as X
 from gridsight.functions.numbers import dec, half_up_ratio
-from gridsight.operators.joins import salted_join
+from gridsight.operators.joins import frequent_keys, salted_join
 
 
-def with_dimensions(fact: DataFrame, dim_company: DataFrame, dim_location: DataFrame) -> DataFrame:
+def fact_hot_keys(fact: DataFrame) -> DataFrame:
+    """The frequent companies and places of the facts, from one pass over them."""
+    return frequent_keys(fact, ["company_id"], ["location_id"])
+
+
+def with_dimensions(fact: DataFrame, dim_company: DataFrame, dim_location: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Facts with their company (inner) and their place, if any (left)."""
     companies = dim_company.select("company_id", "company_name", "tier")
     places = dim_location.select("location_id", "city", "country", "avg_temp_celsius")
-    named = salted_join(fact, companies, ["company_id"], "inner", "fact_id")
-    return salted_join(named, places, ["location_id"], "left", "fact_id")
+    named = salted_join(fact, companies, ["company_id"], "inner", "fact_id", hot)
+    return salted_join(named, places, ["location_id"], "left", "fact_id", hot)
 
 
-def efficiency_leaderboard(fact: DataFrame, dim_company: DataFrame, dim_location: DataFrame) -> DataFrame:
-    rows = with_dimensions(fact, dim_company, dim_location)
+def efficiency_leaderboard(fact: DataFrame, dim_company: DataFrame, dim_location: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    rows = with_dimensions(fact, dim_company, dim_location, hot)
     return rows.orderBy("pue_value", "fact_id").select(
         "company_name", "tier", "facility_name", "city", "country", "year", "pue_value", "pue_type",
         "cooling_overhead_pct", "capacity_mw", "renewable_pct", "wue_l_per_kwh", "annual_waste_mwh",
@@ -83,9 +90,9 @@ def tier_comparison(fact: DataFrame, dim_company: DataFrame) -> DataFrame:
     )
 
 
-def climate_view(fact: DataFrame, dim_company: DataFrame, dim_location: DataFrame, unit: str = "kg") -> DataFrame:
+def climate_view(fact: DataFrame, dim_company: DataFrame, dim_location: DataFrame, unit: str = "kg", hot: DataFrame | None = None) -> DataFrame:
     """Emissions with one factor for all countries."""
-    rows = with_dimensions(fact.filter(F.col("capacity_mw").isNotNull()), dim_company, dim_location)
+    rows = with_dimensions(fact.filter(F.col("capacity_mw").isNotNull()), dim_company, dim_location, hot)
     return (
         rows.withColumn("annual_co2_tons", X.co2(F.col("annual_waste_mwh"), dec("0.82"), unit))
         .orderBy(F.desc_nulls_last("annual_co2_tons"), "fact_id")
@@ -96,10 +103,10 @@ def climate_view(fact: DataFrame, dim_company: DataFrame, dim_location: DataFram
     )
 
 
-def design_vs_operating(fact: DataFrame, dim_company: DataFrame) -> DataFrame:
+def design_vs_operating(fact: DataFrame, dim_company: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     rows = fact.filter(F.col("pue_type").isin("design", "operating", "TTM"))
     return (
-        salted_join(rows, dim_company.select("company_id", "company_name"), ["company_id"], "inner", "fact_id")
+        salted_join(rows, dim_company.select("company_id", "company_name"), ["company_id"], "inner", "fact_id", hot)
         .orderBy("company_name", F.desc_nulls_first("year"), "fact_id")
         .select("company_name", "pue_type", "pue_value", "year", "facility_name")
     )
