@@ -27,15 +27,15 @@ def _(spark, sf):
 
 @query("win01_global_rank_sliced", with_ctes(f"SELECT pue_id, {_RANK} AS pue_rank FROM stg", "stg"))
 def _(spark, sf):
-    """The same ranks when every value is cut into slices."""
+    """The same ranks when the values are cut into few slices."""
     rows = X.staged(spark, sf).select("pue_id", "pue_value")
-    return row_number_by_value(rows, "pue_rank", "pue_value", "pue_id", rows_per_slice=4).select("pue_id", "pue_rank")
+    return row_number_by_value(rows, "pue_rank", "pue_value", "pue_id", digits=1).select("pue_id", "pue_rank")
 
 
 @query("mrt02_leaderboard_sliced", with_ctes(f"SELECT {_RANK} AS pue_rank, {_TIER_RANK} AS tier_rank, company_name, pue_value::DOUBLE AS pue_value FROM stg", "stg"))
 def _(spark, sf):
-    """Both ranks when the most frequent values are cut."""
-    return marts.leaderboard(X.staged(spark, sf), rows_per_slice=10).select("pue_rank", "tier_rank", "company_name", "pue_value")
+    """Both ranks from few slices."""
+    return marts.leaderboard(X.staged(spark, sf), digits=1).select("pue_rank", "tier_rank", "company_name", "pue_value")
 
 
 @query("win02_rank_in_tier", with_ctes(f"SELECT pue_id, tier, {_TIER_RANK} AS tier_rank FROM stg", "stg"))

@@ -1,88 +1,53 @@
 """Row numbers over very large groups without pulling a group into one task."""
 
-from functools import reduce
-from operator import and_
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+#: Leading hex digits of the tie hash by which the rows of one value are cut: 4,096 slices.
+DIGITS = 3
 
-ROWS_PER_SLICE = 1_000_000
-BROADCAST_ROWS = 100_000
 
+def _label(columns: list[str]) -> Column:
+    """One text for the values of these columns; NULL is a value, and lengths keep them apart."""
+    parts = [F.coalesce(F.concat(F.char_length(F.col(c).cast("string")), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in columns]
+    return F.concat(F.lit("/"), *parts)
 
-def _attach(rows: DataFrame, small: DataFrame, keys: list[str], how: str, broadcast: bool) -> DataFrame:
-    """Join on keys that may be NULL; the keys of the small side are dropped."""
-    other = small.withColumnsRenamed({k: f"_key_{k}" for k in keys})
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    joined = rows.join(other.hint("broadcast") if broadcast else other, same, how)
-    return joined.drop(*[f"_key_{k}" for k in keys])
 
-
-def _rows_before(counts: DataFrame, keys: list[str], within: list[str], last, name: str) -> DataFrame:
-    """Per key: how many rows of the same group come earlier in the order of ``last``."""
-    per_key = counts.groupBy(*keys).agg(F.sum("_n").alias("_n"))
-    earlier = W.partitionBy(*within).orderBy(last).rowsBetween(W.unboundedPreceding, -1)
-    return per_key.select(*keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(name))
-
-
-def row_numbers_by_value(
-    df: DataFrame,
-    by: str,
-    tie: str,
-    ranks: dict[str, list[str]],
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
+def row_numbers_by_value(df: DataFrame, by: str, tie: str, ranks: dict[str, list[str]], digits: int = DIGITS) -> DataFrame:
     """Adds one column per rank: ``row_number() over (partition by <group> order by <by> nulls
     last, md5(tie), tie)``, where ``ranks`` maps the column to its group columns.
 
-    ``by`` takes few distinct values (a PUE is decimal(5,3) in [1,3]: 2,001 at most) while any
-    value, and any group, may hold a large share of all rows.  A row's number is the count of
-    rows with smaller values plus its place among the rows of its own value, so only the latter
-    are sorted, all ranks after one shuffle.  A value with more than ``rows_per_slice`` rows is
-    cut into slices by the leading hex digits of ``md5(tie)``, and the rows of earlier slices
-    are counted as well.
-
-    Counting the values is a first small job.  It tells whether the tables of counts are small
-    enough to broadcast (else they are joined by a shuffle) and whether any value must be cut.
+    One plan of one shape, whatever the size, and no job before it runs.  The rows of a value are
+    cut into slices by the first ``digits`` hex digits of ``md5(tie)``.  A row's number is the
+    number of rows with smaller values, plus those of earlier slices of its value, plus its place
+    in its slice.  The first two are prefix sums over counts, at most 16**digits rows per value
+    and group, and only the slices are sorted: the whole rows are shuffled once for all ranks,
+    and any value and any group may hold a large share of them.  ``by`` takes few distinct
+    values (a PUE is decimal(5,3) in [1,3]: 2,001 at most): their sums are ordered per group.
     """
+    keyed = df.withColumn("_hash", F.md5(F.col(tie))).withColumn("_value", _label([by]))
+    keyed = keyed.withColumn("_slice", F.concat("_value", F.lit("#"), F.substring("_hash", 1, digits) if digits else F.lit("")))
     groups = list(dict.fromkeys(c for within in ranks.values() for c in within))
-    counts = df.groupBy(by, *groups).agg(F.count(F.lit(1)).alias("_n"))
-    per_value = counts.groupBy(by).agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    seen = per_value.agg(F.max("_n").alias("hottest"), F.sum("_n").alias("rows"), F.sum("_k").alias("keys")).first()
-    small = (seen["keys"] or 0) <= BROADCAST_ROWS
-    cut = (seen["hottest"] or 0) > rows_per_slice
-    last = F.col(by).asc_nulls_last()
+    keys = {name: F.concat(F.lit(name), _label(within)) for name, within in ranks.items()}
+
+    counts = keyed.groupBy(by, "_value", "_slice", *groups).agg(F.count(F.lit(1)).alias("_n"))
+    cells = counts.select(by, "_value", "_slice", "_n", F.explode(F.array(*keys.values())).alias("_key"))
+    cells = cells.groupBy("_key", by, "_value", "_slice").agg(F.sum("_n").alias("_n"))
+    values = cells.groupBy(F.col("_key").alias("_k"), F.col(by).alias("_by"), F.col("_value").alias("_v")).agg(F.sum("_n").alias("_sum"))
+    smaller = F.sum("_sum").over(W.partitionBy("_k").orderBy(F.col("_by").asc_nulls_last())) - F.col("_sum")
+    earlier = F.sum("_n").over(W.partitionBy("_key", "_value").orderBy("_slice")) - F.col("_n")
+    before = cells.withColumn("_earlier", earlier).join(values.withColumn("_smaller", smaller), (F.col("_key") == F.col("_k")) & (F.col("_value") == F.col("_v")))
+    # a row per slice, so that the rows meet it on the key they are dealt by
+    skips = before.groupBy(F.col("_slice").alias("_s")).agg(F.map_from_entries(F.collect_list(F.struct("_key", F.col("_smaller") + F.col("_earlier")))).alias("_skip"))
 
-    rows = df.withColumn("_hash", F.md5(F.col(tie)))
-    for name, within in ranks.items():
-        before = _rows_before(counts, [*within, by], within, last, f"_before_{name}")
-        rows = _attach(rows, before, [*within, by], "inner", small)
-    slice_key = [by]
-    if cut:
-        # hex digits for which an average slice has at most rows_per_slice rows
-        digits = F.greatest(F.lit(0), F.ceil(F.log(16.0, F.col("_n") / F.lit(rows_per_slice)))).cast("int")
-        rows = _attach(rows, per_value.select(by, digits.alias("_digits")), [by], "inner", small)
-        rows = rows.withColumn("_slice", F.expr("left(_hash, _digits)")).drop("_digits")
-        slice_key = [by, "_slice"]
-        in_slices = rows.filter("_slice <> ''").groupBy(*slice_key, *groups).agg(F.count(F.lit(1)).alias("_n"))
-        few = 16 * seen["rows"] // rows_per_slice * max(1, seen["keys"]) <= BROADCAST_ROWS
-        for name, within in ranks.items():
-            keys = [*within, *slice_key]
-            skip = _rows_before(in_slices, keys, [*within, by], F.col("_slice"), f"_skip_{name}")
-            rows = _attach(rows, skip, keys, "left", few)
-    for name, within in ranks.items():
-        place = F.row_number().over(W.partitionBy(*slice_key, *within).orderBy("_hash", tie))
-        skipped = F.coalesce(F.col(f"_skip_{name}"), F.lit(0)) if cut else F.lit(0)
-        rows = rows.withColumn(name, F.col(f"_before_{name}") + skipped + place)
-    return rows.drop("_hash", "_slice", *[f"_{p}_{n}" for n in ranks for p in ("before", "skip")])
+    rows = keyed.repartition("_slice")
+    places = {f"_place_{name}": F.row_number().over(W.partitionBy("_slice", *within).orderBy("_hash", tie)) for name, within in ranks.items()}
+    joined = rows.withColumns(places).join(skips, F.col("_slice") == F.col("_s"))
+    out = joined.withColumns({name: F.element_at("_skip", key) + F.col(f"_place_{name}") for name, key in keys.items()})
+    return out.select(*df.columns, *ranks)
 
 
 def row_number_by_value(
-    df: DataFrame,
-    name: str,
-    by: str,
-    tie: str,
-    within: list[str] | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    df: DataFrame, name: str, by: str, tie: str, within: list[str] | None = None, digits: int = DIGITS,
 ) -> DataFrame:
     """One rank; see ``row_numbers_by_value``."""
-    return row_numbers_by_value(df, by, tie, {name: within or []}, rows_per_slice)
+    return row_numbers_by_value(df, by, tie, {name: within or []}, digits)

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gridsight.functions import metrics as X
 from gridsight.functions.numbers import dec, mean_half_up
-from gridsight.operators.ranking import row_numbers_by_value
+from gridsight.operators.ranking import DIGITS, row_numbers_by_value
 
 
 def staging(raw: DataFrame) -> DataFrame:
@@ -17,16 +17,15 @@ def staging(raw: DataFrame) -> DataFrame:
     )
 
 
-def leaderboard(stg: DataFrame, rows_per_slice: int | None = None) -> DataFrame:
-    """Overall rank, rank in the tier, and category of every staged row."""
+def leaderboard(stg: DataFrame, digits: int = DIGITS, ordered: bool = False) -> DataFrame:
+    """Overall rank, rank in the tier, and category of every staged row; ``ordered`` by rank."""
     columns = [
         "pue_id", "company_name", "tier", "facility_name", "city", "country", "metric_year", "pue_value",
         "pue_type", "cooling_overhead_pct", "capacity_mw", "renewable_pct", "wue_l_per_kwh", "annual_waste_mwh",
     ]
-    size = {} if rows_per_slice is None else {"rows_per_slice": rows_per_slice}
     ranks = {"pue_rank": [], "tier_rank": ["tier"]}
-    ranked = row_numbers_by_value(stg.select(*columns), "pue_value", "pue_id", ranks, **size)
-    return ranked.select(
+    ranked = row_numbers_by_value(stg.select(*columns), "pue_value", "pue_id", ranks, digits)
+    board = ranked.select(
         "pue_rank", "tier_rank", "company_name", "tier", "facility_name", "city", "country", "metric_year",
         "pue_value", "pue_type",
         F.round("cooling_overhead_pct", 2).cast("decimal(10,2)").alias("cooling_overhead_pct"),
@@ -34,6 +33,7 @@ def leaderboard(stg: DataFrame, rows_per_slice: int | None = None) -> DataFrame:
         F.round("annual_waste_mwh", 2).cast("decimal(18,2)").alias("annual_waste_mwh"),
         X.efficiency_category(F.col("pue_value")).alias("efficiency_category"),
     )
+    return board.orderBy("pue_rank") if ordered else board
 
 
 def india_vs_global(stg: DataFrame) -> DataFrame:
@@ -63,11 +63,16 @@ def india_vs_global(stg: DataFrame) -> DataFrame:
     return stg.agg(*figures).selectExpr(f"stack(2, {sides}) as ({names})")
 
 
-def cost_waste(stg: DataFrame) -> DataFrame:
-    """What the energy above the IT load costs, and what an improvement to 1.2 would save."""
+def cost_waste(stg: DataFrame, ordered: bool = False) -> DataFrame:
+    """What the energy above the IT load costs, and what an improvement to 1.2 would save.
+
+    ``ordered``: the most expensive first, unknown costs last.
+    """
     pue, mw, mwh, tariff = (F.col(c) for c in ("pue_value", "capacity_mw", "annual_waste_mwh", "tariff_inr_per_kwh"))
     rows = stg.filter(mw.isNotNull() & mwh.isNotNull()).withColumn("tariff_inr_per_kwh", X.tariff_inr(F.col("country")))
     rows = rows.withColumn("annual_waste_cost_crores", F.round(X.crores(mwh, tariff), 2).cast("decimal(20,2)"))
+    if ordered:
+        rows = rows.orderBy(F.desc_nulls_last("annual_waste_cost_crores"), "pue_id")
     saving = F.round(X.crores(X.saving_mwh(pue, mw), tariff), 2).cast("decimal(20,2)")
     return rows.select(
         "company_name", "tier", "facility_name", "city", "country", "pue_value", "capacity_mw",
@@ -81,11 +86,11 @@ def cost_waste(stg: DataFrame) -> DataFrame:
     )
 
 
-def climate_impact(stg: DataFrame, temperatures: DataFrame, unit: str = "kg") -> DataFrame:
+def climate_impact(stg: DataFrame, temperatures: DataFrame, unit: str = "kg", ordered: bool = False) -> DataFrame:
     """Emissions, water and a temperature-adjusted PUE; temperatures are found by city alone.
 
     A seed with two rows for one city ends the job: it would double that city's facilities.
-    Spark broadcasts the seed if it is small.
+    Spark broadcasts the seed if it is small.  ``ordered``: the largest emissions first, unknown last.
     """
     mwh, factor = F.col("annual_waste_mwh"), F.col("grid_emission_factor")
     seed = temperatures.groupBy("city").agg(F.count(F.lit(1)).alias("_n"), F.any_value("avg_temp_celsius").alias("_t"))
@@ -95,6 +100,8 @@ def climate_impact(stg: DataFrame, temperatures: DataFrame, unit: str = "kg") ->
         rows = rows.drop("avg_temp_celsius")
     rows = rows.join(seed, "city", "left").withColumnRenamed("_t", "avg_temp_celsius")
     rows = rows.withColumn("grid_emission_factor", X.emission_factor(F.col("country")))
+    if ordered:
+        rows = rows.orderBy(F.desc_nulls_last(X.co2(mwh, factor, unit)), "pue_id")
     return rows.select(
         "company_name", "tier", "facility_name", "city", "country", "avg_temp_celsius", "pue_value", "capacity_mw",
         F.round("cooling_overhead_pct", 2).cast("decimal(10,2)").alias("cooling_overhead_pct"),

@@ -11,21 +11,35 @@ from gridsight.plans import analytics, marts, measures
 from gridsight.functions.numbers import half_up_ratio, mean_half_up
 
 
-@pytest.mark.parametrize("rows_per_slice", [3, 50, 10_000])
-def test_ranks_equal_the_plain_window(spark, rows_per_slice):
+@pytest.mark.parametrize("digits", [0, 1, 3])
+def test_ranks_equal_the_plain_window(spark, digits):
     """A third of the rows share one value and one group; some values and groups are NULL."""
     df = spark.range(600).select(
         F.concat(F.lit("r"), "id").alias("id"),
         F.when(F.col("id") % 3 == 0, F.lit(1.5)).when(F.col("id") % 50 == 1, None).otherwise((F.col("id") % 20) / 10 + 1).cast("decimal(5,3)").alias("v"),
         F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 1, None).otherwise(F.concat(F.lit("g"), F.col("id") % 4)).alias("g"),
     )
-    got = row_numbers_by_value(df, "v", "id", {"r": [], "gr": ["g"]}, rows_per_slice)
+    got = row_numbers_by_value(df, "v", "id", {"r": [], "gr": ["g"]}, digits)
     order = [F.col("v").asc_nulls_last(), F.md5("id"), F.col("id")]
     want = df.withColumns({"r": F.row_number().over(W.orderBy(*order)), "gr": F.row_number().over(W.partitionBy("g").orderBy(*order))})
     key = ["id", "v", "g", "r", "gr"]
     assert sorted(map(str, got.select(key).collect())) == sorted(map(str, want.select(key).collect()))
 
 
+def test_ranks_are_one_lazy_plan(spark):
+    """No job while the plan is built, and one exchange of the whole rows."""
+    df = spark.range(1000).select(F.col("id").cast("string").alias("id"), (F.col("id") % 7).cast("decimal(5,3)").alias("v"), F.concat(F.lit("g"), F.col("id") % 3).alias("g"), F.lit("wide").alias("wide"))
+    spark.sparkContext.setJobGroup("ranking", "")
+    got = row_numbers_by_value(df, "v", "id", {"r": [], "gr": ["g"]})
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("ranking")) == 0
+    got.count()
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    spark.sparkContext.setJobGroup("other", "")
+    physical = got._jdf.queryExecution().executedPlan().toString()
+    final = physical.split("== Initial Plan ==")[0]
+    assert sum("wide" in line and "Exchange" in line for line in final.splitlines()) <= 1 and "Window" in plan
+
+
 def test_rank_of_nothing(spark):
     df = spark.createDataFrame([], "id string, v decimal(5,3)")
     assert row_numbers_by_value(df, "v", "id", {"r": []}).count() == 0
