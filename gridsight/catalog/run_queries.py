@@ -1,12 +1,16 @@
 """Whole runs: extraction from pages to records, loading into the star schema."""
 
+from pyspark.sql import functions as F
+
 from gridsight.catalog import fixtures as X
-from gridsight.catalog.base import query, scratch
+from gridsight.catalog.base import places, query, scratch
 from gridsight.catalog.oracle_sql import CTES, cte, with_ctes
 from gridsight.catalog.text_queries import visible_text
 from gridsight.operators import search
-from gridsight.plans import star_load
+from gridsight.operators.location import resolve_countries
+from gridsight.plans import build_run, marts, star_load
 from gridsight.plans.extraction_run import extraction_run
+from gridsight.sources.lookups import city_temperatures, country_index
 
 # -- the same inputs and texts in SQL
 
@@ -170,3 +174,75 @@ def _(spark, sf):
     star_load.load(rows.where(_FIRST_RUN), root, "first")
     star_load.load(rows, root, "second")
     return star_load.runs(spark, root).select("run", "raw", "fact", "rejected")
+
+
+# -- building and testing
+
+
+def _sources(spark, sf):
+    facts, companies, places_ = X.star(spark, sf)
+    return {"raw_pue_data": X.warehouse_rows(spark, sf), "seed_rows": city_temperatures(spark), "dim_company": companies, "dim_location": places_, "fact_efficiency": facts}
+
+
+_TABLE_OF = {"raw_pue_data": "enriched", "dim_company": "dim_company", "dim_location": "dim_location", "fact_efficiency": "fact"}
+
+
+def _test_sql(c: build_run.Check) -> str:
+    table = _TABLE_OF[c.table]
+    n = {
+        "not_null": f"SELECT count(*) FROM {table} WHERE {c.column} IS NULL",
+        "unique": f"SELECT count(*) FROM (SELECT {c.column} FROM {table} WHERE {c.column} IS NOT NULL GROUP BY ALL HAVING count(*) > 1)",
+        "accepted": f"SELECT count(DISTINCT {c.column}) FROM {table} WHERE {c.where or 'true'} AND {c.column} NOT IN ({', '.join(c.values) or 'NULL'})",
+    }[c.kind]
+    return f"SELECT '{c.name}' AS test, '{c.table}' AS table, '{c.severity}' AS severity, ({n}) AS failures"
+
+
+@query("dq09_build_and_test", with_ctes(
+    "SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS status FROM (" + " UNION ALL ".join(map(_test_sql, build_run.CHECKS)) + ")",
+    "enriched", "fact", "dim_company", "dim_location"))
+def _(spark, sf):
+    return build_run.build_and_test(spark, _sources(spark, sf), scratch(spark, "build"))[1]
+
+
+@query("snk05_build_models", with_ctes("""
+SELECT 'city_temperatures' AS model, 19::BIGINT AS records UNION ALL SELECT 'stg_pue', count(*) FROM stg UNION ALL SELECT 'mart_leaderboard', count(*) FROM stg UNION ALL
+SELECT 'mart_india_vs_global', 2 UNION ALL SELECT 'mart_cost_waste', count(*) FROM stg WHERE capacity_mw IS NOT NULL UNION ALL
+SELECT 'mart_climate_impact', count(*) FROM stg WHERE capacity_mw IS NOT NULL""", "stg"))
+def _(spark, sf):
+    built = build_run.build(_sources(spark, sf), build_run.MODELS, scratch(spark, "build"))
+    counts = [df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(n).alias("model"), "records") for n, df in built.items()]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+_TARIFF = "CASE country WHEN 'India' THEN 7.0 WHEN 'United States' THEN 10.0 ELSE 8.5 END"
+
+
+@query("srt02_mart_order", with_ctes(f"""
+SELECT 'cost' AS mart, row_number() OVER (ORDER BY v DESC NULLS LAST) AS place, v::DOUBLE AS v FROM (
+  SELECT round(annual_waste_mwh * {_TARIFF} * 0.0001, 2) AS v FROM stg WHERE capacity_mw IS NOT NULL)
+UNION ALL SELECT 'rank', row_number() OVER (ORDER BY pue_value), pue_value::DOUBLE FROM stg""", "stg"))
+def _(spark, sf):
+    """The marts in the order in which they come."""
+    stg = X.staged(spark, sf)
+    cost = places(marts.cost_waste(stg, ordered=True).select(F.col("annual_waste_cost_crores").cast("double").alias("v")), "v")
+    rank = places(marts.leaderboard(stg, ordered=True).select(F.col("pue_value").cast("double").alias("v")), "v")
+    return cost.select(F.lit("cost").alias("mart"), "place", "v").unionByName(rank.select(F.lit("rank").alias("mart"), "place", "v"))
+
+
+# fixed values: the country names of the table nation with their codes
+_NATIONS = {
+    "ALGERIA": "DZ", "ARGENTINA": "AR", "BRAZIL": "BR", "CANADA": "CA", "EGYPT": "EG", "ETHIOPIA": "ET", "FRANCE": "FR", "GERMANY": "DE", "INDIA": "IN",
+    "INDONESIA": "ID", "IRAN": "IR", "IRAQ": "IQ", "JAPAN": "JP", "JORDAN": "JO", "KENYA": "KE", "MOROCCO": "MA", "MOZAMBIQUE": "MZ", "PERU": "PE",
+    "CHINA": "CN", "ROMANIA": "RO", "SAUDI ARABIA": "SA", "VIETNAM": "VN", "RUSSIA": "RU", "UNITED KINGDOM": "GB", "UNITED STATES": "US",
+}
+
+
+@query("enr04_country_resolver", "SELECT c_custkey, n_name AS country, code AS country_code FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN (VALUES "
+       + ", ".join(f"('{n}', '{c}')" for n, c in _NATIONS.items()) + ") AS t(name, code) ON n_name = name")
+def _(spark, sf):
+    nations = X.dimension(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("country"))
+    rows = X.table(spark, sf, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "country")
+    return resolve_countries(rows, country_index(spark))

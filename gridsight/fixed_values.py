@@ -93,6 +93,29 @@ COUNTRY_CODES = {
     "Japan": "JP",
     "Hong Kong": "HK",
 }
+# fixed values: other names of countries that texts use
+COUNTRY_ALIASES = {
+    "UK": "GB",
+    "Great Britain": "GB",
+    "England": "GB",
+    "Scotland": "GB",
+    "Wales": "GB",
+    "America": "US",
+    "U.S.": "US",
+    "U.S.A.": "US",
+    "United States of America": "US",
+    "UAE": "AE",
+    "Holland": "NL",
+    "Korea": "KR",
+    "Republic of Korea": "KR",
+    "Russian Federation": "RU",
+    "Czech Republic": "CZ",
+    "Viet Nam": "VN",
+    "Ivory Coast": "CI",
+    "Burma": "MM",
+    "Macau": "MO",
+    "Turkey": "TR",
+}
 # looked for in a text in this order; the first that occurs wins
 TEXT_CITIES = [
     ("mumbai", "Mumbai", "India"),

@@ -26,6 +26,22 @@ def country_code_of(country: Column) -> Column:
     return lookup(country, V.COUNTRY_CODES)
 
 
+def country_key(name: Column) -> Column:
+    """A country's name without case, accents, marks and a leading article."""
+    plain = F.regexp_replace(F.lower(F.translate(name, "ÅÇÉÔãåçèéíôöü", "ACEOaaceeioou")), r"[^\p{L}\p{N}]+", " ")
+    return F.regexp_replace(F.trim(F.replace(F.concat(F.lit(" "), plain, F.lit(" ")), F.lit(" and "), F.lit(" "))), r"^the ", "")
+
+
+def resolve_countries(df: DataFrame, index: DataFrame, country: str = "country", code: str = "country_code") -> DataFrame:
+    """``df`` with the code of every country that the index knows under some name; others are NULL.
+
+    The index has a few hundred rows, so Spark broadcasts it.
+    """
+    named = index.select(F.col("name_key").alias("_key"), F.col("country_code").alias("_code"))
+    joined = df.withColumn("_wanted", country_key(F.col(country))).join(named, F.col("_wanted") == F.col("_key"), "left")
+    return joined.select(*[c for c in df.columns if c != code], F.col("_code").alias(code))
+
+
 def enrich_location(df: DataFrame) -> DataFrame:
     """Where a city is given: normalise it, fill a missing country and region, set temperature
     and country code.  Rows without a city keep what they have.

@@ -182,10 +182,24 @@ def facility_scenarios(facilities: DataFrame, targets: list[str], tariff: str =
 
 
 def drill_down(df: DataFrame) -> DataFrame:
-    """Subtotals over tier, company and facility; ``level`` 0 is a facility, 7 the total."""
-    return df.rollup("tier", "company", "facility_name").agg(
-        F.grouping_id().cast("int").alias("level"),
-        F.count(F.lit(1)).alias("records"),
-        mean_half_up(F.col("pue_value"), 3, 3).alias("avg_pue"),
-        F.sum("capacity_mw").alias("capacity_mw"),
+    """Subtotals over tier, company and facility; ``level`` 0 is a facility, 7 the total.
+
+    Rows are summed up once, to facilities; every coarser level adds up the sums of the finer one.
+    """
+    keys = ["tier", "company", "facility_name"]
+    sums = ["records", "milli", "pues", "capacity_mw"]
+    level = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("records"), F.sum((F.col("pue_value") * 1000).cast("bigint")).alias("milli"),
+        F.count("pue_value").alias("pues"), F.sum("capacity_mw").alias("capacity_mw"),
     )
+    kinds, levels = {k: df.schema[k].dataType for k in keys}, []
+    for n in range(len(keys), -1, -1):
+        if n < len(keys):
+            level = level.groupBy(*keys[:n]).agg(*[F.sum(c).cast(level.schema[c].dataType).alias(c) for c in sums])
+        named = [F.col(k) if i < n else F.lit(None).cast(kinds[k]).alias(k) for i, k in enumerate(keys)]
+        levels.append(level.where("records is not null").select(*named, F.lit(2 ** (len(keys) - n) - 1).alias("level"), *sums))
+    whole = levels[0]
+    for part in levels[1:]:
+        whole = whole.unionByName(part)
+    mean = F.when(F.col("pues") > 0, half_up_ratio(F.col("milli"), F.col("pues") * 1000, 3))
+    return whole.select(*keys, "level", "records", mean.alias("avg_pue"), "capacity_mw")

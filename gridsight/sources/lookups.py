@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridsight import fixed_values as V
 from gridsight import schemas
+from gridsight.operators.location import country_key
 
 
 def _money(text: str | None) -> Decimal | None:
@@ -38,6 +39,23 @@ def country_codes(spark: SparkSession) -> DataFrame:
     )
 
 
+def country_index(spark: SparkSession) -> DataFrame:
+    """Every name under which a country is known (``name_key``) with its two-letter code.
+
+    The countries of ISO 3166 with their English names and codes are those of the Java platform;
+    to these come the names of ``fixed_values``.  A few hundred rows, one per name.
+    """
+    locale = spark.sparkContext._jvm.java.util.Locale
+    names: dict[str, str] = {}
+    for code in locale.getISOCountries():
+        place = locale("", code)
+        for name in (place.getDisplayCountry(locale.ENGLISH), place.getISO3Country(), code):
+            names.setdefault(name, code)
+    names |= V.COUNTRY_ALIASES | V.COUNTRY_CODES
+    rows = spark.createDataFrame(list(names.items()), "name string, country_code string")
+    return rows.select(country_key(F.col("name")).alias("name_key"), "country_code").where("name_key <> ''").dropDuplicates(["name_key"])
+
+
 def priorities(spark: SparkSession, table: dict) -> DataFrame:
     return spark.createDataFrame(list(table.items()), "key string, priority int")
 
