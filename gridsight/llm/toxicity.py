@@ -27,15 +27,18 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .cells import bit_map, has_bit
-from .shared import stored, table
-from .words import ALNUM, blocks, hashes, mix, spans
+from .shared import discarded, stored, table
+from .words import ALNUM, blocks, hashes, mix, release, spans
 
 RUN = 5
 DISCOUNT = 0.75
 #: Bytes of text that are scored together and share one copy of what they ask for.
-TEXTS = 1 << 24
+TEXTS = 1 << 26
+#: Bytes of text that travel as one value.
+PIECE = 1 << 21
 #: What is asked for.
 RUNS, CONTEXTS, WORDS = 0, 1, 2
 #: log p of a run that is in no labelled text.
@@ -210,18 +213,38 @@ def known_items(runs: DataFrame, words: DataFrame) -> DataFrame:
     return stored(out.union(words.select(item(WORDS, "word", F.col("n0"), F.col("n1")))), "known")
 
 
+def _closed_up(rows: pa.RecordBatch) -> bytes:
+    """Rows as one compressed value."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(rows)
+    return out.getvalue().to_pybytes()
+
+
+def _opened(pieces: pa.ChunkedArray | pa.Array) -> Iterator[pa.RecordBatch]:
+    for piece in pieces:
+        yield from pa.ipc.open_stream(piece.as_buffer())
+
+
 def in_blocks(docs: DataFrame) -> DataFrame:
-    """The texts with the number of a block of about ``TEXTS`` bytes."""
+    """The texts dealt out by blocks of about ``TEXTS`` bytes: ``block``, and ``rows``, some of
+    its rows as one compressed value, which halves what is shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, before = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64
-            ends = before + np.cumsum(size)
+            ends, at = before + np.cumsum(size), 0
+            while at < len(batch):
+                # rows of one block, as many as make a piece
+                last = min(ends[at] - size[at] + PIECE, ((ends[at] - size[at]) // TEXTS + 1) * TEXTS)
+                to = max(at + 1, int(np.searchsorted(ends - size, last, "left")))
+                block = task + int(ends[at] - size[at]) // TEXTS
+                yield pa.record_batch([pa.array([block]), pa.array([_closed_up(batch.slice(at, to - at))], pa.binary())], ["block", "rows"])
+                at = to
             before = int(ends[-1]) if len(ends) else before
-            yield pa.record_batch([pa.array(task + (ends - size) // TEXTS), *batch.columns], ["block", *batch.schema.names])
+        release()
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return stored(docs.mapInArrow(run, f"block bigint, doc_id {kind}, text string"), "texts", compression="zstd")
+    return docs.mapInArrow(run, "block bigint, rows binary").repartition("block")
 
 
 def asked(texts: DataFrame) -> DataFrame:
@@ -236,17 +259,18 @@ def asked(texts: DataFrame) -> DataFrame:
                     some = keys[at : at + (1 << 16)]
                     yield pa.record_batch([pa.array(np.full(len(some), block)), pa.array(np.full(len(some), kind, np.int32)), pa.array(some)], ["block", "kind", "key"])
 
-        for rows, data, begin in blocks(batches, "text"):
-            here = set(rows.column(0).to_pylist())
-            for block in [b for b in open_ if b not in here]:
-                yield from closed(block)
-            stream, _, a, b = _stream(data, begin)
-            runs = _runs(stream)
-            runs = np.unique(runs[_within(a, b, len(runs))])
-            starts, ends, _ = spans(stream, np.array([0, len(stream)]), ALNUM)
-            items = runs, np.unique(runs >> np.uint64(8)), np.unique(hashes(stream, starts, ends))
-            for block in here:
-                open_.setdefault(block, []).append(items)
+        for batch in batches:
+            for block, piece in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for _, data, begin in blocks(_opened([piece]), "text"):
+                    stream, _, a, b = _stream(data, begin)
+                    runs = _runs(stream)
+                    runs = np.unique(runs[_within(a, b, len(runs))])
+                    starts, ends, _ = spans(stream, np.array([0, len(stream)]), ALNUM)
+                    items = runs, np.unique(runs >> np.uint64(8)), np.unique(hashes(stream, starts, ends))
+                    held = open_.setdefault(block, [])
+                    held.append(items)
+                    if len(held) >= 16:  # what repeats is kept once
+                        open_[block] = [tuple(np.unique(np.concatenate(parts)) for parts in zip(*held))]
         for block in list(open_):
             yield from closed(block)
 
@@ -288,7 +312,7 @@ def features(docs: DataFrame, runs: DataFrame, words: DataFrame) -> DataFrame:
             return tuple(np.where(hit, v[at] if len(v) else 0.0, x) for v, x in zip(values, absent))
 
         out = []
-        for rows, data, begin in blocks(iter(ours.select(["doc_id", "text"]).to_batches()), "text"):
+        for rows, data, begin in blocks(_opened(ours.column("rows")), "text"):
             stream, at, a, b = _stream(data, begin)
             every, back = np.unique(_runs(stream), return_inverse=True)
             ratio, shared = looked_up(RUNS, every, (np.nan, RARE))
@@ -315,12 +339,13 @@ def features(docs: DataFrame, runs: DataFrame, words: DataFrame) -> DataFrame:
             total = np.concatenate([[0.0], np.cumsum(gain)])
             columns += [(total[last] - total[first]) / np.maximum(last - first, 1), *[_best(total, first, last, m) for m in WORD_PASSAGES]]
             out.append(pa.record_batch([rows.column(0), *[pa.array(c) for c in columns]], names))
-        return pa.Table.from_batches(out) if out else empty(ours)
+        return pa.Table.from_batches(out) if out else empty()
 
     names = ["doc_id", *FEATURES]
+    id_type = to_arrow_type(docs.schema["doc_id"].dataType)
 
-    def empty(ours: pa.Table) -> pa.Table:
-        return pa.table([pa.array([], ours.schema.field("doc_id").type), *[pa.array([], pa.float64()) for _ in FEATURES]], names)
+    def empty() -> pa.Table:
+        return pa.table([pa.array([], id_type), *[pa.array([], pa.float64()) for _ in FEATURES]], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(score, f"doc_id {kind}, " + ", ".join(f"{f} double" for f in FEATURES))
@@ -375,9 +400,10 @@ def scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     kind = rows.schema["doc_id"].dataType.simpleString()
     hashed = rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS)).alias("bit"), "doc_id", "text")
     training = hashed.mapInArrow(labelled, f"doc_id {kind}, text string").join(given.where("not fits"), F.col("doc_id") == F.col("id")).select("text", "toxic")
-    training = stored(training, "training")
+    training = stored(training, "training", compression="zstd")
     runs = stored(run_counts(training), "runs")
     words = stored(word_counts(training), "words")
+    discarded(training)
     evidence = stored(features(rows, runs, words), "evidence")
 
     # about as many rows as are wanted, so that no task offers more than its share
