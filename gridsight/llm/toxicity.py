@@ -38,7 +38,7 @@ DISCOUNT = 0.75
 #: Bytes of text that are scored together and share one copy of what they ask for.
 TEXTS = 1 << 26
 #: Bytes of text that travel as one value.
-PIECE = 1 << 21
+PIECE = 1 << 22
 #: What is asked for.
 RUNS, CONTEXTS, WORDS = 0, 1, 2
 #: log p of a run that is in no labelled text.
@@ -216,7 +216,7 @@ def known_items(runs: DataFrame, words: DataFrame) -> DataFrame:
 def _closed_up(rows: pa.RecordBatch) -> bytes:
     """Rows as one compressed value."""
     out = pa.BufferOutputStream()
-    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=9))) as writer:
         writer.write_batch(rows)
     return out.getvalue().to_pybytes()
 
@@ -404,7 +404,10 @@ def scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     runs = stored(run_counts(training), "runs")
     words = stored(word_counts(training), "words")
     discarded(training)
-    evidence = stored(features(rows, runs, words), "evidence")
+    evidence = features(rows, runs, words)
+    discarded(runs)  # what texts ask for is a table of its own by now
+    discarded(words)
+    evidence = stored(evidence, "evidence")
 
     # about as many rows as are wanted, so that no task offers more than its share
     share = min(1.0, 1.2 * FIT_ROWS / max(1, given.where("fits").count()))
