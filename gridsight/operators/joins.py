@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 HOT = 1000
 #: Items that the frequent-items sketch of one key keeps at most.
 TRACKED = 8192
+#: Tasks that merge the sketches of all partitions before the last one does.
+MERGES = 64
 #: Groups over which rows that take no part in the shuffled join are spread.
 SPREAD = 1 << 20
 
@@ -26,7 +28,11 @@ def frequent_keys(rows: DataFrame, *keys: list[str]) -> DataFrame:
     """
     names = [",".join(k) for k in keys]
     hashed = rows.select(*[_hash(k).alias(f"k{i}") for i, k in enumerate(keys)])
-    seen = hashed.agg(F.count(F.lit(1)).alias("all"), *[F.expr(f"approx_top_k(k{i}, {HOT}, {TRACKED})").alias(f"k{i}") for i in range(len(keys))])
+    # sketches of the input partitions meet in a few tasks first, so the last one merges no more than these
+    sketched = hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGES)).alias("_merge")).agg(
+        F.count(F.lit(1)).alias("n"), *[F.expr(f"approx_top_k_accumulate(k{i}, {TRACKED}) as s{i}") for i in range(len(keys))])
+    # grouped by what is always 0: sketches of no rows at all cannot be merged
+    seen = sketched.groupBy(F.pmod(F.col("_merge"), F.lit(1)).alias("_one")).agg(F.sum("n").alias("all"), *[F.expr(f"approx_top_k_estimate(approx_top_k_combine(s{i}, {TRACKED}), {HOT}) as k{i}") for i in range(len(keys))])
     each = F.explode(F.array(*[F.struct(F.lit(n).alias("key"), F.col(f"k{i}").alias("items")) for i, n in enumerate(names)]))
     items = seen.select("all", each.alias("e")).select("all", "e.key", F.explode("e.items").alias("i"))
     return items.where(F.col("i.item").isNotNull() & (F.col("i.count") * HOT > F.col("all"))).select("key", F.col("i.item").alias("hash"))

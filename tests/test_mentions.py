@@ -120,4 +120,5 @@ def test_unknown_variant_is_refused(spark):
 
 def test_extraction_summary(spark):
     df = assemble_records(texts(spark, "PUE of 1.2", "65% renewable energy"), "2025-06-30")
-    assert tuple(extraction_summary(df).first()) == (2, 1, 1)
+    companies = spark.createDataFrame([("a",), ("b",), ("c",)], "name string")
+    assert tuple(extraction_summary(df, companies).first()) == (3, 2, 1, 1)
