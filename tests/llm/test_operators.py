@@ -413,7 +413,8 @@ def test_pipeline_stages(spark, tmp_path):
         out.write.parquet(str(tmp_path / name))
         kept = spark.read.parquet(str(tmp_path / name))
         left[name] = {r.doc_id: r for r in kept.collect()}
-    assert not [i for i in left["toxicity"] if i < 300 and i % 6 == 0 and rows[i][1] and i % 12] or len(left["toxicity"]) < 280
+    toxic = {i for i in range(300) if i % 6 == 0}
+    assert len(toxic & set(left["toxicity"])) <= 5 and len(set(left["toxicity"]) - toxic) >= 250
     assert 301 not in left["near_duplicates"] and 303 not in left["near_duplicates"] and 1 in left["near_duplicates"] and 304 in left["near_duplicates"]
     assert 7 not in left["decontamination"] and 8 in left["decontamination"]
     assert left["redaction"][302].text == "mail me at [EMAIL] now" and left["redaction"][302].n_chars == 22
