@@ -3,12 +3,14 @@ columns, against a brute-force version where no SQL counterpart exists."""
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from gridsight.llm import ann, bpe, decontaminate, html_text, jaccard, language, licences, pii, sharding, toxicity
 from gridsight.llm.cells import without
 from gridsight.llm.graph import components
+from gridsight.llm.words import blocks
 
 # "bit", "class", "id", "n" and the like are names that the operators use inside
 DOCS = "doc_id bigint, text string, lang string, source string, n bigint, class string, id bigint, _text string, token string, run string, cell int"
@@ -381,6 +384,102 @@ def test_licences(spark, odd_rows):
     assert sum(r.n_licences for r in got.values()) == 2 and got[41].n_paragraphs == 0
 
 
+WRAPPED = {
+    "MIT": " * Permission is hereby granted, free of charge, to any person obtaining\n * a copy of this software and associated documentation files, to deal in\n * the Software without restriction, including without limitation",
+    "BSD": "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions\n# are met:",
+    "GPL": "// This program is free software: you can redistribute it and/or modify\n// it under the terms of the GNU General Public License as published by\n// the Free Software Foundation, either version 2 of the License, or\n// (at your option) any later version.",
+    "Apache-2.0": "-- Licensed under the Apache License, Version 2.0 (the \"License\");\n-- you may not use this file except in compliance with the License.",
+    "ISC": "; Permission to use, copy, modify, and/or distribute this software for any\n; purpose with or without fee is hereby granted, provided that the above\n; copyright notice and this permission notice appear in all copies.",
+}
+
+
+def test_wrapped_notices_and_unknown_licences(spark):
+    before = "int main() {}\nreturn the value of the field\n"
+    rows = [(i, f"{before}{t}\nand then some words\n\nlast line") for i, t in enumerate(WRAPPED.values())]
+    rows += [(20, "Licensed under the Eclipse Public License 2.0."), (21, "Licensed under the Sunflower Public License 2.0."), (22, "Released under the Foo License."), (23, WRAPPED["BSD"].replace("with or", "\n\n").replace("following", "\n#\n"))]
+    rows += [(100 + i, f"plain words number {i} about the weather\nand a second line of it {i}") for i in range(300)]
+    got = {r.doc_id: r for r in licences.scan(docs(spark, rows)).collect()}
+    for i, (family, text) in enumerate(WRAPPED.items()):
+        start, end = len(before), len(before) + len(text)
+        assert got[i].families == family, (family, got[i])
+        spans = [s.split(":") for s in got[i].spans.split(",")]
+        assert all(start <= int(a) and int(b) <= end for _, a, b in spans)
+        assert got[i].n_paragraphs == 2
+    assert got[20].families == "EPL" and got[21].n_licences == 0 and got[22].n_licences == 0
+    assert sum(got[100 + i].n_licences for i in range(300)) == 0
+
+
+def _plain_scan(model, text):
+    """The same judgement, one line, passage and n-gram at a time."""
+    def words_of(t):
+        return re.findall("[a-z0-9\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+
+    def number(words):
+        h = licences._as_lines([" ".join(words)])[0]
+        return int(licences.grams(h, len(words))[0])
+
+    known = {int(h): i for i, h in enumerate(model.names)}
+
+    def judge(words):
+        z, hits = model.weights[-1].copy(), 0
+        for n in licences.GRAMS:
+            for i in range(len(words) - n + 1):
+                at = known.get(number(words[i : i + n]))
+                if at is not None:
+                    z, hits = z + model.weights[at], hits + 1
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        return (int(p.argmax()) - 1, float(p.max())) if hits and p.argmax() and p.max() >= 0.5 else None
+
+    lines = [words_of(t) for t in text.split("\n")]
+    flat = [(w, i) for i, ws in enumerate(lines) for w in ws]
+    touched = set()
+    for a, b, c in zip(flat, flat[1:], flat[2:]):
+        if b[1] - a[1] <= 1 and c[1] - b[1] <= 1 and number([a[0], b[0], c[0]]) in known:
+            touched |= {a[1], b[1], c[1]}
+    out = [(i, i, j) for i, ws in enumerate(lines) if ws and (j := judge(ws))]
+    i = 0
+    while i < len(lines):
+        k = i
+        while k + 1 < len(lines) and i in touched and k + 1 in touched:
+            k += 1
+        if k > i and (j := judge([w for ws in lines[i : k + 1] for w in ws])):
+            out.append((i, k, j))
+        i = k + 1
+    return sorted((a, b, f, round(p, 6)) for a, b, (f, p) in out)
+
+
+def test_judgement_against_a_plain_version():
+    rng = random.Random(5)
+    plain = [f"plain words number {i} about the weather in the city" for i in range(200)]
+    model = licences.Model(plain)
+    pieces = [n for ns in licences.NOTICES.values() for n in ns] + list(WRAPPED.values()) + plain[:10] + ["", " * ", "é😀 the", "the License you may"]
+    texts = []
+    for _ in range(60):
+        text = "\n".join(rng.choice(pieces) for _ in range(rng.randrange(6)))
+        texts.append("".join("\n" if c == " " and rng.random() < 0.1 else c for c in text))
+    for _, data, begin in blocks(iter([pa.record_batch([pa.array(texts)], ["text"])]), "text"):
+        lines, owner, _, _, found = licences._judged(model, data, begin)
+    got = [[] for _ in texts]
+    base = np.searchsorted(lines, begin)
+    for first, last, family, odds, _ in found:
+        doc = int(owner[first])
+        got[doc].append((first - int(base[doc]), last - int(base[doc]), family, round(1 / (1 + math.exp(-odds)), 6)))
+    for text, have in zip(texts, got):
+        assert sorted(have) == _plain_scan(model, text)
+
+
+def test_the_bar_counts_all_paragraphs(spark):
+    """One in a thousand unconfirmed lines may be believed, wherever they stand."""
+    class Fixed:
+        value = licences.Model([f"plain words number {i}" for i in range(50)])
+
+    odd = "licensed under the mit"  # likely MIT, too short to be confirmed
+    few = docs(spark, [(i, "plain words\n" * 200) for i in range(20)] + [(30, odd)])
+    many = docs(spark, [(i, "plain words\n" * 20) for i in range(20)] + [(30, odd)])
+    assert licences._bar(few, Fixed) == 0 < licences._bar(many, Fixed)
+    assert licences._bar(few.limit(0), Fixed) == 0
+
+
 # -- pipeline
 
 
