@@ -12,7 +12,7 @@ from html.parser import HTMLParser
 from itertools import accumulate
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridsight import fixed_values as V
 from gridsight.operators.links import pdf_links
@@ -203,22 +203,48 @@ def selected_text(pages: DataFrame, selector: str, key: str = "page_id") -> Data
     return parse_pages(pages, ("selected_text",), selector=selector, key=key)
 
 
+class _Sections:
+    def eval(self, html: str, keywords: list[str]) -> Iterator[tuple]:
+        for i, s in enumerate(Page(html or "").sections(keywords)):
+            yield i, s["tag"], s["text"], s["html"]
+
+
+class _Cells:
+    def eval(self, html: str) -> Iterator[tuple]:
+        for i, table in enumerate(Page(html or "").cells()):
+            for j, row in enumerate(table):
+                for k, text in enumerate(row):
+                    yield i, j, k, text
+
+
+def section_function():
+    """Table function (html, keywords in lower case) -> section_no, tag, text, html."""
+    return F.udtf(_Sections, returnType="section_no int, tag string, text string, html string", useArrow=True).asDeterministic()
+
+
+def cell_function():
+    """Table function (html) -> table_no, row_no, col_no, text, numbered from 0."""
+    return F.udtf(_Cells, returnType="table_no int, row_no int, col_no int, text string", useArrow=True).asDeterministic()
+
+
+def register(spark: SparkSession) -> None:
+    """``page_sections`` and ``page_cells`` for SQL: ``FROM pages, LATERAL page_cells(html)``."""
+    spark.udtf.register("page_sections", section_function())
+    spark.udtf.register("page_cells", cell_function())
+
+
 def keyword_sections(pages: DataFrame, keywords: list[str] | None = None, key: str = "page_id") -> DataFrame:
     """One row per block that contains a keyword; nested blocks are all reported."""
-    found = parse_pages(pages, ("sections",), keywords, key=key)
-    return found.select(key, F.posexplode("sections").alias("section_no", "s")).select(
-        key, "section_no", "s.tag", "s.text", "s.html"
-    )
+    words = F.array(*[F.lit(k.lower()) for k in (keywords or V.SECTION_KEYWORDS)])
+    given = pages.select(key, F.col("html").alias("_page"))
+    found = section_function()(F.col("_page").outer(), words)
+    return given.lateralJoin(found).select(key, "section_no", "tag", "text", "html")
 
 
 def table_cells(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """(table, row, column, text) of every cell, numbered from 0."""
-    return (
-        parse_pages(pages, ("tables",), key=key)
-        .select(key, F.posexplode("tables").alias("table_no", "t"))
-        .select(key, "table_no", F.posexplode("t").alias("row_no", "r"))
-        .select(key, "table_no", "row_no", F.posexplode("r").alias("col_no", "text"))
-    )
+    given = pages.select(key, F.col("html").alias("_page"))
+    return given.lateralJoin(cell_function()(F.col("_page").outer())).select(key, "table_no", "row_no", "col_no", "text")
 
 
 def page_bundle(pages: DataFrame, key: str = "page_id") -> DataFrame:

@@ -113,6 +113,20 @@ def test_sections(spark):
     assert html.page_bundle(page(spark)).first().pdf_links == []
 
 
+def test_table_functions_in_sql(spark):
+    rows = spark.createDataFrame([(1, PAGE), (2, None), (3, ""), (3, PAGE)], "page_id int, html string")
+    rows.createOrReplaceTempView("some_pages")
+    html.register(spark)
+    cells = spark.sql("SELECT page_id, table_no, row_no, col_no, text FROM some_pages, LATERAL page_cells(html)")
+    assert sorted(map(tuple, cells.collect())) == sorted(map(tuple, html.table_cells(rows).collect()))
+    assert [r.page_id for r in cells.orderBy("page_id").collect()] == [1] * 4 + [3] * 4
+    found = spark.sql("SELECT p.page_id, s.tag FROM some_pages p, LATERAL page_sections(p.html, array('capacity')) s WHERE p.page_id = 1 ORDER BY section_no")
+    assert [r.tag for r in found.collect()] == ["section", "article"]
+    # the rows leave Python as they are: no nested array is exploded, nothing is shuffled
+    plan = html.table_cells(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPythonUDTF" in plan and "Generate" not in plan and "Exchange" not in plan and "Join" not in plan
+
+
 def test_links_and_joining(spark):
     base = "https://e.com/a/b/p.html?q=1#f"
     hrefs = ["x.pdf", "/r/Y.PDF", "../up/z.pdf", "./s.pdf", "//cdn.e.com/t.pdf", "https://o.org/u.pdf", "v.pdf?x=1"]
