@@ -66,3 +66,13 @@ def test_broken_files_give_nothing_and_are_listed(spark, tmp_path, block_size):
     got = {r.file.rsplit("/", 1)[1][:-5]: r.is_array for r in skipped.collect()}
     assert set(got) == set(bad)
     assert not got["blank"] and not got["object"] and not got["cut"] and got["comma"] and got["number"]
+
+
+def test_texts_stay_in_the_task_that_reads_them(spark, tmp_path):
+    """No shuffle of all texts or records, and every element is parsed once for each of the two outputs."""
+    (tmp_path / "a.json").write_text(json.dumps([{"no": i, "s": "x" * 50} for i in range(50)]))
+    records, _ = readers.read_records_json(spark, str(tmp_path), SCHEMA)
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in plan and plan.count("ResolvedHint") + plan.count("rightHint=(strategy=broadcast)") >= 3
+    assert sum("from_json(" in line for line in plan.splitlines()) == 2
+    assert records.count() == 50
