@@ -178,3 +178,13 @@ def test_page_search_and_joining(spark):
 def test_schema_is_fixed(spark):
     df = normalize_schema(spark.createDataFrame([("a", 1)], "company string, other int"))
     assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in schemas.RECORD]
+
+
+def test_record_lines_are_written_compressed(spark, tmp_path):
+    from gridsight.sources import readers, writers
+
+    df = spark.range(5000).selectExpr("concat('c', id) as company", "cast(1.5 as decimal(5,3)) as pue_value", "'https://example.com/a' as source_url")
+    assert writers.save_records_json(df, str(tmp_path / "r")) == {"Records Extracted": 5000, "Facilities with PUE": 5000}
+    files = [p for p in (tmp_path / "r").iterdir() if p.name.startswith("part-")]
+    assert files and all(p.name.endswith(".json.gz") for p in files) and sum(p.stat().st_size for p in files) < 5000 * 30
+    assert readers.read_record_lines(spark, str(tmp_path / "r")).select("company").distinct().count() == 5000
