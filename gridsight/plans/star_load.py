@@ -66,7 +66,7 @@ def load(records: DataFrame, root: str, run: str, seq: str = "id") -> dict[str,
 
     def written(df: DataFrame, table: str) -> tuple[DataFrame, int]:
         path = f"{root.rstrip('/')}/{table}/run={run}/attempt={attempt}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)  # keys of hex digits halve
         back = spark.read.schema(df.schema).parquet(path)
         return back, back.count()
 

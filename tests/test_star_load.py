@@ -100,3 +100,12 @@ def test_views_read_the_facts_once(spark, sf):
     assert scans(views.efficiency_leaderboard(facts, companies, places, hot=X.hot_keys(spark, sf)), sf) == 1
     plan = X.fact_load(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [id#") == 1
+
+
+def test_stored_tables_are_compressed(spark, tmp_path):
+    """Keys of hex digits take less than their length on disk."""
+    star_load.load(rows(spark, *[(str(i), f"c{i}", "x", "T1", "1.2") for i in range(3000)]), str(tmp_path), "r")
+    files = [p for p in tmp_path.glob("fact/**/*.parquet")]
+    assert files and all(p.name.endswith(".zstd.parquet") for p in files)
+    assert sum(p.stat().st_size for p in files) < 3000 * 2 * 64
+    assert star_load.read_star(spark, str(tmp_path), "fact").select("fact_id").distinct().count() == 3000
