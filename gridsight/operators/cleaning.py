@@ -53,37 +53,56 @@ def convert(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return df.withColumns({c: safe_number(F.col(c), t) for c, t in types.items()})
 
 
-def backfill_tier(df: DataFrame, registry: DataFrame, spread: str | None = None) -> DataFrame:
+def _without_tier() -> Column:
+    return F.coalesce("tier", F.lit("")) == ""
+
+
+def wanted_tier() -> Column:
+    """The name under which a row without a tier is looked up; NULL for the others."""
+    return F.when(_without_tier(), F.lower("company"))
+
+
+def backfill_tier(df: DataFrame, registry: DataFrame, spread: str | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Missing tier from the company registry, by name without regard to case.
 
     Only rows without a tier look at the registry; the others carry a NULL join key and pass.
     ``spread`` names a column that differs from row to row; by default the whole row is used.
+    ``hot`` (``frequent_keys`` of ``wanted_tier`` named ``_wanted``) spares a pass to find them.
     """
-    missing = F.coalesce("tier", F.lit("")) == ""
+    missing = _without_tier()
     known = registry.groupBy(F.lower("name").alias("_name")).agg(F.min_by("tier", "name").alias("_tier"))
-    wanted = df.withColumn("_wanted", F.when(missing, F.lower("company")))
+    wanted = df.withColumn("_wanted", wanted_tier())
     salt = F.col(spread) if spread else F.xxhash64(*df.columns)
-    joined = salted_join(wanted, known, {"_wanted": "_name"}, "left", salt)
+    joined = salted_join(wanted, known, {"_wanted": "_name"}, "left", salt, hot)
     return joined.withColumn("tier", F.when(missing, F.col("_tier")).otherwise(F.col("tier"))).drop("_wanted", "_tier")
 
 
-def fill_missing_pue(df: DataFrame) -> DataFrame:
-    """A missing PUE becomes the default of the tier and the row is marked as an estimate.
-
-    Only an absent value is missing; one that is no number stays, and validation rejects it.
-    """
-    missing, kind = F.col("pue_value").isNull(), df.schema["pue_value"].dataType
-    decimal = isinstance(kind, T.DecimalType)
-    default = lookup(F.col("tier"), {k: Decimal(v) for k, v in V.TIER_DEFAULT_PUE.items()}, dec(V.FALLBACK_PUE))
+def mark_estimates(df: DataFrame, missing: Column) -> DataFrame:
+    """Type and source of rows whose PUE is estimated."""
     return df.withColumns(
         {
-            "pue_value": F.coalesce("pue_value", default.cast("decimal(5,3)") if decimal else default.cast("decimal(5,3)").cast(kind)),
             "pue_type": F.when(missing, "estimated").otherwise(F.col("pue_type")),
             "source_type": F.when(missing, "benchmark").otherwise(F.col("source_type")),
         }
     )
 
 
+def estimated_pue(df: DataFrame, missing: Column) -> DataFrame:
+    """The default of the tier where the PUE is missing."""
+    kind = df.schema["pue_value"].dataType
+    default = lookup(F.col("tier"), {k: Decimal(v) for k, v in V.TIER_DEFAULT_PUE.items()}, dec(V.FALLBACK_PUE)).cast("decimal(5,3)")
+    return df.withColumn("pue_value", F.when(missing, default if isinstance(kind, T.DecimalType) else default.cast(kind)).otherwise(F.col("pue_value")))
+
+
+def fill_missing_pue(df: DataFrame) -> DataFrame:
+    """A missing PUE becomes the default of the tier and the row is marked as an estimate.
+
+    Only an absent value is missing; one that is no number stays, and validation rejects it.
+    """
+    missing = F.col("pue_value").isNull()
+    return estimated_pue(mark_estimates(df, missing), missing)
+
+
 def append_all(frames: list[DataFrame]) -> DataFrame:
     """Bag union; columns a frame lacks are NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

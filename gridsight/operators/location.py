@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridsight import fixed_values as V
-from gridsight.functions.text import lookup, normalize_city
+from gridsight.functions.text import lookup, normalize_city, strip, title_case
 
 _COUNTRY = {c: v[0] for c, v in V.CITIES.items()}
 _REGION = {c: v[1] for c, v in V.CITIES.items() if v[1]}
@@ -42,21 +42,33 @@ def resolve_countries(df: DataFrame, index: DataFrame, country: str = "country",
     return joined.select(*[c for c in df.columns if c != code], F.col("_code").alias(code))
 
 
+def with_normal_city(df: DataFrame) -> DataFrame:
+    """Given cities in their normal form; its steps are columns, so that each runs once per row."""
+    city = F.col("city")
+    named = df.withColumn("_stripped", strip(city)).withColumn("_name", title_case(F.col("_stripped")))
+    normal = F.when(F.coalesce(city, F.lit("")) == "", city).otherwise(lookup(F.col("_name"), V.CITY_ALIASES, F.col("_name")))
+    return named.withColumn("city", normal).drop("_stripped", "_name")
+
+
 def enrich_location(df: DataFrame) -> DataFrame:
     """Where a city is given: normalise it, fill a missing country and region, set temperature
-    and country code.  Rows without a city keep what they have.
+    and country code.  Rows without a city keep what they have."""
+    had_city = F.coalesce("city", F.lit("")) != ""
+    return enrich_normal(with_normal_city(df.withColumn("_had", had_city)), F.col("_had")).drop("_had")
+
+
+def enrich_normal(df: DataFrame, has_city: Column) -> DataFrame:
+    """The same for cities in normal form.
 
     The tables have 26 rows, so they are map literals: no join and no shuffle.
     """
-    has_city = F.coalesce("city", F.lit("")) != ""
     if "avg_temp_celsius" not in df.columns:
         df = df.withColumn("avg_temp_celsius", F.lit(None).cast("decimal(5,2)"))
     if "country_code" not in df.columns:
         df = df.withColumn("country_code", F.lit(None).cast("string"))
     city = F.col("city")
     return (
-        df.withColumn("city", F.when(has_city, normalize_city(city)).otherwise(city))
-        .withColumns(
+        df.withColumns(
             {
                 "country": F.when(
                     has_city, F.coalesce(F.nullif("country", F.lit("")), lookup(city, _COUNTRY))

@@ -78,9 +78,18 @@ def with_errors(df: DataFrame, as_of_year: int) -> DataFrame:
     return df.withColumn("errors", row_errors(as_of_year, df.columns))
 
 
+def passes(as_of_year: int, columns: list[str], missing_pue: bool = False) -> Column:
+    """Does a row pass every check?  With ``missing_pue`` a missing PUE does, since it will be
+    estimated: the defaults of the tiers are all valid."""
+    def ok(name: str, check: Column) -> Column:
+        return check | F.col(name).isNull() if missing_pue and name == "pue_value" else check
+
+    return reduce(and_, [ok(name, check) for name, check, _ in _checks(as_of_year, columns)])
+
+
 def valid_rows(df: DataFrame, as_of_year: int) -> DataFrame:
     """Only rows that pass every check; no message is built for them."""
-    return df.filter(reduce(and_, [ok for _, ok, _ in _checks(as_of_year, df.columns)]))
+    return df.filter(passes(as_of_year, df.columns))
 
 
 def error_messages(df: DataFrame, as_of_year: int, row: str = "id") -> DataFrame:

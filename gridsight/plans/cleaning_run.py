@@ -4,10 +4,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from gridsight.functions.metrics import with_derived_metrics
 from gridsight.functions.numbers import mean_half_up
-from gridsight.operators.cleaning import backfill_tier, fill_missing_pue, in_tier, nan_cells_to_null, normalize_schema, with_storage_types
-from gridsight.operators.dedup import keep_best_quality
-from gridsight.operators.location import enrich_location
-from gridsight.operators.quality import valid_rows
+from gridsight.operators.cleaning import backfill_tier, estimated_pue, in_tier, mark_estimates, nan_cells_to_null, normalize_schema, wanted_tier, with_storage_types
+from gridsight.operators.dedup import hot_hash, keep_best_quality
+from gridsight.operators.joins import frequent_keys
+from gridsight.operators.location import enrich_normal, with_normal_city
+from gridsight.operators.quality import passes
 
 
 def clean(records: DataFrame, registry: DataFrame, as_of_year: int, seq: str = "id") -> DataFrame:
@@ -16,13 +17,19 @@ def clean(records: DataFrame, registry: DataFrame, as_of_year: int, seq: str = "
     Rows are checked on the values as they came and only then rounded to their storage types: a
     PUE of 3.0004 or "n/a" is rejected, not stored as 3.000 or estimated.
 
-    Everything before the choice of the best row is row by row; that choice is the only
-    shuffle of whole rows.
+    Before the choice of the best row only that is done, row by row, on which it depends: the
+    normal form of the city, the checks and the mark of an estimate.  Places, tiers, estimates
+    and derived figures are filled in for the rows that stay.  One sketch of the records finds the
+    frequent keys of the choice and of the tiers.
     """
     rows = nan_cells_to_null(normalize_schema(records, extra=(seq,), keep_numbers=True))
-    rows = backfill_tier(enrich_location(rows), registry, seq)
-    rows = with_storage_types(valid_rows(fill_missing_pue(rows), as_of_year))
-    return with_derived_metrics(keep_best_quality(rows, seq=seq))
+    hot = frequent_keys(rows.select(hot_hash(["company", "facility_name"]).alias("_part"), wanted_tier().alias("_wanted")), ["_part"], ["_wanted"])
+    rows = rows.withColumns({"_had": F.coalesce("city", F.lit("")) != "", "_missing": F.col("pue_value").isNull()})
+    rows = mark_estimates(with_normal_city(rows), F.col("_missing"))
+    rows = rows.withColumn("_valid", passes(as_of_year, rows.columns, missing_pue=True))
+    best = keep_best_quality(with_storage_types(rows), seq=seq, valid=F.col("_valid"), hot=hot)
+    best = backfill_tier(enrich_normal(best, F.col("_had")), registry, seq, hot)
+    return with_derived_metrics(estimated_pue(best, F.col("_missing")).drop("_had", "_missing", "_valid"))
 
 
 def final_order(df: DataFrame, seq: str = "id") -> DataFrame:
