@@ -8,6 +8,8 @@ from gridsight.functions.text import lookup, normalize_city, strip, title_case
 _COUNTRY = {c: v[0] for c, v in V.CITIES.items()}
 _REGION = {c: v[1] for c, v in V.CITIES.items() if v[1]}
 _TEMPERATURE = {c: v[2] for c, v in V.CITIES.items() if v[2]}
+#: Listed names and aliases in small letters, with the normal form.
+_NORMAL = {c.lower(): V.CITY_ALIASES.get(c, c) for c in [*V.CITIES, *V.CITY_ALIASES] if c.isascii() and c == c.lower().title()}
 
 
 def country_of(city: Column) -> Column:
@@ -43,11 +45,16 @@ def resolve_countries(df: DataFrame, index: DataFrame, country: str = "country",
 
 
 def with_normal_city(df: DataFrame) -> DataFrame:
-    """Given cities in their normal form; its steps are columns, so that each runs once per row."""
-    city = F.col("city")
-    named = df.withColumn("_stripped", strip(city)).withColumn("_name", title_case(F.col("_stripped")))
-    normal = F.when(F.coalesce(city, F.lit("")) == "", city).otherwise(lookup(F.col("_name"), V.CITY_ALIASES, F.col("_name")))
-    return named.withColumn("city", normal).drop("_stripped", "_name")
+    """Given cities in their normal form; its steps are columns, so that each runs once per row.
+
+    Listed names, in any case, are looked up; only others are stripped and capitalised.
+    """
+    city, small, known = F.col("city"), F.col("_small"), F.col("_known")
+    plain = F.octet_length(small) == F.octet_length(city)  # a letter of another script may have a small Latin one
+    named = df.withColumn("_small", F.lower(city)).withColumn("_known", F.when(plain, lookup(small, _NORMAL)))
+    named = named.withColumn("_stripped", F.when(known.isNull(), strip(city))).withColumn("_name", title_case(F.col("_stripped")))
+    normal = F.when(F.coalesce(city, F.lit("")) == "", city).otherwise(F.coalesce(known, lookup(F.col("_name"), V.CITY_ALIASES, F.col("_name"))))
+    return named.withColumn("city", normal).drop("_small", "_known", "_stripped", "_name")
 
 
 def enrich_location(df: DataFrame) -> DataFrame:

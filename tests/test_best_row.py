@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from gridsight import fixed_values as V
 from gridsight.functions.metrics import with_derived_metrics
-from gridsight.functions.text import lookup
+from gridsight.functions.text import lookup, normalize_city
 from gridsight.operators import cleaning, dedup, quality
-from gridsight.operators.location import enrich_location
+from gridsight.operators.location import enrich_location, with_normal_city
 from gridsight.plans.cleaning_run import clean
 from gridsight.schemas import UNCHECKED
 
@@ -77,3 +77,12 @@ def test_no_input_split_is_sorted_and_no_check_is_pushed_down(spark, tmp_path):
     for i in limits:
         assert "Exchange" in next(line for line in plan[i + 1:] if "Exchange" in line or "Scan" in line)
     assert not any(" Filter (" in line and "renewable_pct" in line for line in plan if "FileScan" not in line)
+
+
+def test_listed_cities_are_looked_up_with_the_same_result(spark):
+    listed = [*V.CITIES, *V.CITY_ALIASES]
+    texts = [f(c) for c in listed for f in (str, str.lower, str.upper, lambda c: f"\u2003{c} ")]
+    texts += [None, "", " ", "\u212aolkata", "\u212aochi", "m\u0130lan", "stra\u00dfe", "o'neill", "Navi  Mumbai", "x-y z9a"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, city string")
+    want = df.select("i", F.when(F.coalesce("city", F.lit("")) != "", normalize_city(F.col("city"))).otherwise(F.col("city")).alias("city"))
+    assert sorted(map(tuple, with_normal_city(df).select("i", "city").collect())) == sorted(map(tuple, want.collect()))
