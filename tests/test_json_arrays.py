@@ -1,11 +1,17 @@
 """Array files cut into many blocks, against the standard library's parser."""
 
+import gzip
 import json
+import os
 import random
+import time
 
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
+import __spark_entry__ as entry
+from gridsight.catalog import row_queries
+from gridsight.session import short_shuffles
 from gridsight.sources import readers
 
 SCHEMA = T.StructType([T.StructField("no", T.LongType()), T.StructField("s", T.StringType()), T.StructField("deep", T.StringType())])
@@ -76,3 +82,44 @@ def test_texts_stay_in_the_task_that_reads_them(spark, tmp_path):
     assert "Repartition" not in plan and plan.count("ResolvedHint") + plan.count("rightHint=(strategy=broadcast)") >= 3
     assert sum("from_json(" in line for line in plan.splitlines()) == 2
     assert records.count() == 50
+
+
+def test_compressed_files_are_read_like_others(spark, tmp_path, block_size):
+    """A compressed file is one block, beside files that are cut."""
+    rng, want = random.Random(block_size), []
+    for i in range(4):
+        rows = [element(rng, 1000 * i + k) for k in range(40 * i)]
+        text = json.dumps(rows, ensure_ascii=False)
+        (tmp_path / f"{i}.json").write_text(text) if i % 2 else (tmp_path / f"{i}.json.gz").write_bytes(gzip.compress(text.encode()))
+        want += rows
+    (tmp_path / "cut.json.gz").write_bytes(gzip.compress(b'[{"no": 1}, {"no": 2'))
+    records, skipped = readers.read_records_json(spark, str(tmp_path), SCHEMA, glob="*.json*")
+    assert sorted((r.no, r.s) for r in records.collect()) == sorted((w["no"], w["s"]) for w in want)
+    assert [r.file.rsplit("/", 1)[1] for r in skipped.collect()] == ["cut.json.gz"]
+
+
+def test_written_arrays_are_compressed(spark, sf, tmp_path, monkeypatch):
+    """The texts of ``src01`` repeat all names; its scratch files stay far below them."""
+    monkeypatch.setattr(row_queries, "scratch", lambda spark, name: f"{tmp_path}/{name}")
+    assert entry.queries()["src01_json_array_files"](spark, sf).count() == 6000
+    files = [p for p in (tmp_path / "arrays").glob("part-*")]
+    texts = [gzip.decompress(p.read_bytes()) for p in files]
+    assert sum(len(json.loads(t)) for t in texts) == 6000
+    assert sum(p.stat().st_size for p in files) < 0.3 * sum(map(len, texts))
+    assert "spark.sql.classic.shuffleDependency.fileCleanup.enabled" not in {k for k, v in spark.conf.getAll.items() if v == "true"}
+
+
+def test_shuffle_files_of_a_write_go_with_it(spark, tmp_path):
+    def shuffle_files():
+        tops = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+        return {f for top in tops for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+
+    df = spark.range(20000).select((F.col("id") % 5000).alias("k")).groupBy("k").count()
+    before = shuffle_files()
+    with short_shuffles(spark):
+        df.write.parquet(str(tmp_path / "short"))
+    until = time.time() + 20
+    while shuffle_files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files() - before
+    assert spark.read.parquet(str(tmp_path / "short")).count() == df.count() == 5000
