@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridsight.catalog.base import scratch
 from gridsight.operators.location import enrich_location
-from gridsight.operators.star import company_candidates, fact_rows, location_candidates, lookup_hot_keys
+from gridsight.operators.star import absent_keys, company_candidates, fact_rows, location_candidates, lookup_hot_keys
 from gridsight.plans.cleaning_run import clean
 from gridsight.plans.marts import staging
 from gridsight.plans.views import fact_hot_keys
+from gridsight.session import short_shuffles
 
 AS_OF = "2025-06-30"
 AS_OF_YEAR = 2025
@@ -96,7 +97,9 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     key = (spark.sparkContext.applicationId, sf_dir, f"{name}-{files}")
     if key not in _STORED:
         path = scratch(spark, name)
-        build().write.option("compression", "zstd").parquet(path)  # ids of hex digits halve
+        rows = build()  # may store others
+        with short_shuffles(spark):
+            rows.write.option("compression", "zstd").parquet(path)  # ids of hex digits halve
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
 
@@ -131,7 +134,8 @@ def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts computed against the stored dimensions."""
     rows = warehouse_rows(spark, sf_dir)
     hot = stored(spark, sf_dir, "raw_hot_keys", lambda: lookup_hot_keys(rows))
-    return fact_rows(rows, *dimensions(spark, sf_dir), hot=hot)[0]
+    absent = stored(spark, sf_dir, "raw_absent_keys", lambda: absent_keys(rows, *dimensions(spark, sf_dir)))
+    return fact_rows(rows, *dimensions(spark, sf_dir), hot=hot, absent=absent)[0]
 
 
 def star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:

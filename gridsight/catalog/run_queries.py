@@ -142,6 +142,7 @@ def _loaded(spark, sf, table):
     star_load.load(rows.where(_FIRST_RUN), root, "first")
     star_load.load(rows, root, "second")
     star_load.load(rows, root, "second")
+    star_load.remove_replaced(spark, root)
     return star_load.read_star(spark, root, table)
 
 

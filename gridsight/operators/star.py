@@ -57,20 +57,43 @@ def lookup_hot_keys(df: DataFrame) -> DataFrame:
     return frequent_keys(_with_keys(split_by_constraints(df)[0]), ["company_id"], ["_place_key"])
 
 
-def fact_rows(df: DataFrame, dim_company: DataFrame, dim_location: DataFrame, seq: str = "id", hot: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def absent_keys(df: DataFrame, dim_company: DataFrame, dim_location: DataFrame) -> DataFrame:
+    """``company_id`` and ``_place_key`` of rows that are to become facts, as far as the dimensions
+    lack them: a row per key, with NULL for the other.
+
+    Companies and places are reduced to distinct ones before their keys are computed and compared,
+    so no row is shuffled.  After an insertion of the rows' own companies and places hardly any key
+    is left.
+    """
+    good = _with_keys(split_by_constraints(df)[0])
+    companies = good.select("company").distinct().select(key_of("company").alias("company_id")).distinct()
+    places = good.where("_place_key is not null").select("city", "country").distinct().select(key_of("city", "country").alias("_place_key")).distinct()
+    companies = absent_from(companies, dim_company, "company_id").select("company_id", F.lit(None).cast("string").alias("_place_key"))
+    there = dim_location.select(F.col("location_id").alias("_place_key"))
+    return companies.unionByName(absent_from(places, there, "_place_key").select(F.lit(None).cast("string").alias("company_id"), "_place_key"))
+
+
+def fact_rows(
+    df: DataFrame, dim_company: DataFrame, dim_location: DataFrame, seq: str = "id", hot: DataFrame | None = None, absent: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """Accepted facts and rejected rows with their reasons.
 
     A row whose company is not in the dimension is rejected as ``unknown_company``; an unknown
     place leaves the location key NULL.
-    Both joins only look up keys and are salted, so large companies and places stay spread.
-    ``hot`` (``lookup_hot_keys`` of the rows) saves finding them anew for each join.
+    A key is computed from the row itself, so all there is to find is whether the dimension has
+    it: rows are joined to the keys that it lacks.  These are few, as a rule, and then the rows are not
+    shuffled; if they are many, both joins are salted, so large companies and places stay spread.
+    ``hot`` (``lookup_hot_keys`` of the rows) and ``absent`` (``absent_keys``), stored beside the
+    rows, save finding them anew for each join.
     """
     good, rejected = split_by_constraints(df)
-    places = dim_location.select("location_id", F.col("location_id").alias("_place"))
-    known = dim_company.select("company_id", F.lit(True).alias("_known"))
-    keyed = salted_join(_with_keys(good), known, ["company_id"], "left", seq, hot)
-    unknown = keyed.where("_known is null").select(*good.columns)
-    located = salted_join(keyed.where("_known"), places, {"_place_key": "_place"}, "left", seq, hot)
+    absent = absent_keys(df, dim_company, dim_location) if absent is None else absent
+    places = absent.where("_place_key is not null").select(F.col("_place_key").alias("_place"), F.lit(True).alias("_nowhere"))
+    companies = absent.where("company_id is not null").select("company_id", F.lit(True).alias("_unknown"))
+    keyed = salted_join(_with_keys(good), companies, ["company_id"], "left", seq, hot)
+    unknown = keyed.where("_unknown").select(*good.columns)
+    located = salted_join(keyed.where("_unknown is null"), places, {"_place_key": "_place"}, "left", seq, hot)
+    located = located.withColumn("location_id", F.when(F.col("_nowhere").isNull(), F.col("_place_key")))
     facts = located.select(
         F.sha2(F.col(seq), 256).alias("fact_id"),
         "company_id",

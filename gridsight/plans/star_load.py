@@ -2,14 +2,16 @@
 
 A run writes its rows of every table into a folder of its own attempt.  The last write is one row
 of the manifest that names the attempt; only then is anything of the run visible.  A run that is
-repeated replaces what it loaded before; a run that died left folders that nobody reads.
+repeated replaces what it loaded before; a run that died left folders that nobody reads.  Both stay
+until ``remove_replaced`` is called.
 """
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
-from gridsight.operators.star import company_candidates, fact_rows, location_candidates, lookup_hot_keys
+from gridsight.operators.star import absent_keys, company_candidates, fact_rows, location_candidates, lookup_hot_keys
+from gridsight.session import short_shuffles
 
 TABLES = ("raw", "dim_company", "dim_location", "fact", "rejected")
 MANIFEST = "run string, attempt string, seq bigint, raw bigint, dim_company bigint, dim_location bigint, fact bigint, rejected bigint"
@@ -48,6 +50,25 @@ def read_star(spark: SparkSession, root: str, table: str) -> DataFrame:
     return _read(spark, root, table, schema, names)
 
 
+def remove_replaced(spark: SparkSession, root: str) -> int:
+    """Delete the folders of attempts that are not visible (any more) and return their number.
+
+    Not while a load is running, nor while a table is read that was opened before its run was repeated.
+    """
+    visible = {f"run={r['run']}/attempt={r['attempt']}" for r in runs(spark, root).select("run", "attempt").collect()}
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def inside(path, start: str) -> list:
+        return [f.getPath() for f in fs.listStatus(path) if f.isDirectory() and f.getPath().getName().startswith(start)]
+
+    attempts = [a for table in inside(top, "") for run in inside(table, "run=") for a in inside(run, "attempt=")]
+    gone = [a for a in attempts if f"{a.getParent().getName()}/{a.getName()}" not in visible]
+    for a in gone:
+        fs.delete(a, True)
+    return len(gone)
+
+
 def load(records: DataFrame, root: str, run: str, seq: str = "id") -> dict[str, int]:
     """Load enriched records under the name ``run`` and return how many rows each table gained.
 
@@ -66,7 +87,8 @@ def load(records: DataFrame, root: str, run: str, seq: str = "id") -> dict[str,
 
     def written(df: DataFrame, table: str) -> tuple[DataFrame, int]:
         path = f"{root.rstrip('/')}/{table}/run={run}/attempt={attempt}"
-        df.write.option("compression", "zstd").parquet(path)  # keys of hex digits halve
+        with short_shuffles(spark):
+            df.write.option("compression", "zstd").parquet(path)  # keys of hex digits halve
         back = spark.read.schema(df.schema).parquet(path)
         return back, back.count()
 
@@ -85,7 +107,8 @@ def load(records: DataFrame, root: str, run: str, seq: str = "id") -> dict[str,
         dims[table] = before(table, candidates.schema, others).unionByName(mine)
         counts[table] = n
     hot, _ = written(lookup_hot_keys(raw), "hot_keys")
-    facts, rejected = fact_rows(raw, dims["dim_company"], dims["dim_location"], seq, hot)
+    absent, _ = written(absent_keys(raw, dims["dim_company"], dims["dim_location"]), "absent_keys")
+    facts, rejected = fact_rows(raw, dims["dim_company"], dims["dim_location"], seq, hot, absent)
     _, counts["fact"] = written(facts, "fact")
     _, counts["rejected"] = written(rejected, "rejected")
     # one row in one file: it is there or it is not

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import DataFrameWriter, functions as F
 
 from gridsight.catalog import fixtures as X
+from gridsight.operators import star
 from gridsight.operators.joins import frequent_keys, salted_join
 from gridsight.plans import star_load, views
 
@@ -61,6 +62,53 @@ def test_a_run_that_dies_leaves_nothing(spark, tmp_path, monkeypatch, dies_at):
     assert star_load.load(again, root, "r1")["fact"] == 2
 
 
+def test_replaced_attempts_are_removed(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    one, two = rows(spark, ("1", "a", "x", "T1", "1.2"), ("2", "b", "y", "T1", "9")), rows(spark, ("3", "c", "z", "T1", "1.3"))
+    star_load.load(one, root, "r1")
+    star_load.load(two, root, "r2")
+    star_load.load(one, root, "r1")
+    monkeypatch.setattr(star_load, "fact_rows", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        star_load.load(two, root, "r3")
+    monkeypatch.undo()
+    before = state(spark, root)
+    assert star_load.remove_replaced(spark, root) > 0
+    assert state(spark, root) == before and star_load.remove_replaced(spark, root) == 0
+    assert len({p.parent for p in tmp_path.glob("raw/*/*/*.parquet")}) == 2 and not list(tmp_path.glob("*/run=r3/*"))
+    assert star_load.load(two, root, "r2")["fact"] == 1 and state(spark, root) == before
+
+
+def test_rows_are_not_shuffled_to_look_up_keys(spark, tmp_path):
+    """Only distinct companies and places are; rows meet the few keys that a dimension lacks."""
+    df = spark.range(2000).select(F.col("id").cast("string").alias("id"), *[
+        {"company": F.concat(F.lit("c"), F.col("id") % 500), "city": F.concat(F.lit("x"), F.col("id") % 9), "year": F.lit(2020), "pue_value": F.lit(Decimal("1.500"))}.get(n, F.lit(None)).cast(kind).alias(n)
+        for n, kind in (part.rsplit(" ", 1) for part in ROW.split(", ")[1:])])
+    df.write.parquet(f"{tmp_path}/rows")
+    df = spark.read.parquet(f"{tmp_path}/rows")
+    dims = [star.company_candidates(df), star.location_candidates(df)]
+    for i, given in enumerate([dims, [dims[0].where("company_name <> 'c7'"), dims[1].where("city <> 'x3'")]]):
+        star.absent_keys(df, *given).write.parquet(f"{tmp_path}/absent{i}")
+        star.lookup_hot_keys(df).write.parquet(f"{tmp_path}/hot{i}")
+        facts, rejected = star.fact_rows(df, *given, hot=spark.read.parquet(f"{tmp_path}/hot{i}"), absent=spark.read.parquet(f"{tmp_path}/absent{i}"))
+        assert not [line for line in facts._jdf.queryExecution().sparkPlan().toString().splitlines() if "SortMergeJoin" in line]
+        plan = facts._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert not [line for line in plan if "Exchange hashpartitioning" in line and "source_url" in line]
+        assert facts.count() == 2000 - 4 * i and rejected.count() == 4 * i
+        assert facts.where("location_id is null").count() == i * df.where("city = 'x3' and company <> 'c7'").count()
+
+
+def test_absent_keys(spark):
+    """A missing company and an empty one have one key; rejected rows count for nothing."""
+    df = rows(spark, ("1", "a", "x", "T", "1.2"), ("2", None, "", "T", "1.2"), ("3", "", None, "T", "1.2"), ("4", "new", "y", "T", "1.2"), ("5", "bad", "w", "T", "9"), ("6", "a", "y", "T", "1.3"))
+    dims = rows(spark, ("1", "a", "x", "T", "1.2"))
+    got = star.absent_keys(df, star.company_candidates(dims), star.location_candidates(dims))
+    want = spark.createDataFrame([("new", None), ("", None), (None, "y")], "c string, p string").select(F.when(F.col("c").isNotNull(), star.key_of("c")), F.when(F.col("p").isNotNull(), star.key_of("p", F.lit(None))))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+    facts, rejected = star.fact_rows(df, star.company_candidates(dims), star.location_candidates(dims))
+    assert facts.count() == 2 and {r.id: r.reasons for r in rejected.collect()} == {"2": ["unknown_company"], "3": ["unknown_company"], "4": ["unknown_company"], "5": ["pue_range"]}
+
+
 def test_names_of_runs(spark, tmp_path):
     for bad in ("", "a/b", "a=b"):
         with pytest.raises(ValueError):
