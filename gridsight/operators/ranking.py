@@ -23,23 +23,23 @@ def row_numbers_by_value(df: DataFrame, by: str, tie: str, ranks: dict[str, list
     and group, and only the slices are sorted: the whole rows are shuffled once for all ranks,
     and any value and any group may hold a large share of them.  ``by`` takes few distinct
     values (a PUE is decimal(5,3) in [1,3]: 2,001 at most): their sums are ordered per group.
+    The hash does not travel with the rows: it takes as much as the other columns of a row.
     """
-    keyed = df.withColumn("_hash", F.md5(F.col(tie))).withColumn("_value", _label([by]))
-    keyed = keyed.withColumn("_slice", F.concat("_value", F.lit("#"), F.substring("_hash", 1, digits) if digits else F.lit("")))
+    value, cut = _label([by]), F.substring(F.md5(F.col(tie)), 1, digits) if digits else F.lit("")
     groups = list(dict.fromkeys(c for within in ranks.values() for c in within))
     keys = {name: F.concat(F.lit(name), _label(within)) for name, within in ranks.items()}
 
-    counts = keyed.groupBy(by, "_value", "_slice", *groups).agg(F.count(F.lit(1)).alias("_n"))
-    cells = counts.select(by, "_value", "_slice", "_n", F.explode(F.array(*keys.values())).alias("_key"))
-    cells = cells.groupBy("_key", by, "_value", "_slice").agg(F.sum("_n").alias("_n"))
+    counts = df.select(by, *groups, cut.alias("_cut")).groupBy(by, "_cut", *groups).agg(F.count(F.lit(1)).alias("_n"))
+    cells = counts.select(by, "_cut", "_n", F.explode(F.array(*keys.values())).alias("_key"))
+    cells = cells.groupBy("_key", by, "_cut").agg(F.sum("_n").alias("_n")).withColumn("_value", value)
     values = cells.groupBy(F.col("_key").alias("_k"), F.col(by).alias("_by"), F.col("_value").alias("_v")).agg(F.sum("_n").alias("_sum"))
     smaller = F.sum("_sum").over(W.partitionBy("_k").orderBy(F.col("_by").asc_nulls_last())) - F.col("_sum")
-    earlier = F.sum("_n").over(W.partitionBy("_key", "_value").orderBy("_slice")) - F.col("_n")
-    before = cells.withColumn("_earlier", earlier).join(values.withColumn("_smaller", smaller), (F.col("_key") == F.col("_k")) & (F.col("_value") == F.col("_v")))
+    earlier = F.sum("_n").over(W.partitionBy("_key", "_value").orderBy("_cut")) - F.col("_n")
+    before = cells.drop(by).withColumn("_earlier", earlier).join(values.withColumn("_smaller", smaller), (F.col("_key") == F.col("_k")) & (F.col("_value") == F.col("_v")))
     # a row per slice, so that the rows meet it on the key they are dealt by
-    skips = before.groupBy(F.col("_slice").alias("_s")).agg(F.map_from_entries(F.collect_list(F.struct("_key", F.col("_smaller") + F.col("_earlier")))).alias("_skip"))
+    skips = before.groupBy(F.concat("_value", F.lit("#"), "_cut").alias("_s")).agg(F.map_from_entries(F.collect_list(F.struct("_key", F.col("_smaller") + F.col("_earlier")))).alias("_skip"))
 
-    rows = keyed.repartition("_slice")
+    rows = df.withColumn("_slice", F.concat(value, F.lit("#"), cut)).repartition("_slice").withColumn("_hash", F.md5(F.col(tie)))
     places = {f"_place_{name}": F.row_number().over(W.partitionBy("_slice", *within).orderBy("_hash", tie)) for name, within in ranks.items()}
     joined = rows.withColumns(places).join(skips, F.col("_slice") == F.col("_s"))
     out = joined.withColumns({name: F.element_at("_skip", key) + F.col(f"_place_{name}") for name, key in keys.items()})

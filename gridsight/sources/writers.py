@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from gridsight import schemas
 from gridsight.operators.quality import split_by_constraints
+from gridsight.session import short_shuffles
 
 
 def save_records_json(records: DataFrame, path: str) -> dict:
@@ -55,10 +56,17 @@ def materialize(df: DataFrame, name: str, root: str | None = None, partition_by:
         df.createOrReplaceTempView(name)
         return df
     target = f"{root.rstrip('/')}/{name}"
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+    with short_shuffles(df.sparkSession):
+        df.write.mode("overwrite").partitionBy(*partition_by).option("compression", "zstd").parquet(target)
     return df.sparkSession.read.parquet(target)
 
 
+def removed(spark: SparkSession, path: str) -> bool:
+    """Delete a folder and all that is in it; False if there was none."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def store_failures(failures: Mapping[str, DataFrame], root: str) -> None:
     """Write the failing rows of every data test into its own folder."""
     for test, rows in failures.items():

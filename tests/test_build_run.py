@@ -35,6 +35,25 @@ def test_tests_of_a_table_in_one_scan(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/dq_failures").where("test = 'accepted_t_v'").count() == 2
 
 
+def test_ordered_models_are_sorted_from_what_is_written(spark, tmp_path, monkeypatch):
+    """Computing and sorting never have their shuffle files on disk together; nothing unsorted stays."""
+    written, write = [], build_run.materialize
+
+    def seen(df, name, root):
+        written.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return write(df, name, root)
+
+    monkeypatch.setattr(build_run, "materialize", seen)
+    src = spark.range(2000).select(((F.col("id") * 7919) % 2003).alias("x"), (F.col("id") % 7).alias("k"))
+    models = [Model("m", ("src",), lambda s: s.groupBy("x").agg(F.max("k").alias("k")), order=("x",)), Model("n", ("m",), lambda m: m.where("k = 1"))]
+    built = build_run.build({"src": src}, models, str(tmp_path))
+    assert [n for n, _ in written] == ["m_unsorted", "m", "n"]
+    assert "Sort [" not in written[0][1] and "Sort [" in written[1][1] and "Aggregate" not in written[1][1]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["m", "n"] and all(".zstd." in p.name for p in tmp_path.glob("m/part-*"))
+    assert [r.x for r in built["m"].collect()] == sorted(r.x for r in src.collect()) and built["n"].count() == src.where("k = 1").count()
+    assert [m.name for m in build_run.MODELS if m.order] == ["mart_leaderboard"]
+
+
 def test_country_names(spark):
     names = {"France": "FR", "canada": "CA", " AUSTRALIA ": "AU", "USA": "US", "U.S.A.": "US", "UK": "GB", "United Kingdom": "GB", "the Netherlands": "NL", "IND": "IN", "de": "DE",
              "Hong Kong": "HK", "Côte d’Ivoire": "CI", "Trinidad and Tobago": "TT", "South Korea": "KR", "Atlantis": None, "": None, None: None}

@@ -40,6 +40,14 @@ def test_ranks_are_one_lazy_plan(spark):
     assert sum("wide" in line and "Exchange" in line for line in final.splitlines()) <= 1 and "Window" in plan
 
 
+def test_the_hash_does_not_travel_with_the_rows(spark):
+    """Slices are dealt out before the hash by which they are sorted is computed."""
+    df = spark.range(1000).select(F.concat(F.lit("r"), "id").alias("id"), (F.col("id") % 7).cast("decimal(5,3)").alias("v"), F.concat(F.lit("g"), F.col("id") % 3).alias("g"))
+    plan = row_numbers_by_value(df, "v", "id", {"r": [], "gr": ["g"]})._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    dealt = next(i for i, line in enumerate(plan) if "RepartitionByExpression" in line)
+    assert "AS _hash#" in plan[dealt - 1] and "_hash#" not in "".join(plan[dealt:dealt + 2])
+
+
 def test_rank_of_nothing(spark):
     df = spark.createDataFrame([], "id string, v decimal(5,3)")
     assert row_numbers_by_value(df, "v", "id", {"r": []}).count() == 0
