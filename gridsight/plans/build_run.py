@@ -11,6 +11,7 @@ from graphlib import TopologicalSorter
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridsight.plans import marts
+from gridsight.session import short_shuffles
 from gridsight.sources.writers import materialize, removed
 
 
@@ -91,33 +92,36 @@ def failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """``test``, ``value`` and ``n_records`` of everything that fails, from one scan of ``df``.
 
     Every row gives its keys under the unique tests and an entry for each row test it fails;
-    these are counted together, before and after one shuffle.  A missing key is not tested for
-    uniqueness.
+    these are counted together, before and after one shuffle, in which a test is a number.  A
+    missing key is not tested for uniqueness.
     """
-    def entry(c: Check) -> Column:
+    def entry(no: int, c: Check) -> Column:
         col, kind = F.col(c.column), df.schema[c.column].dataType
         listed = [F.lit(v).cast(kind) for v in c.values]
         bad = {"unique": lambda: col.isNotNull(), "not_null": lambda: col.isNull(), "accepted": lambda: ~col.isin(*listed), "between": lambda: ~col.between(*listed)}[c.kind]()
         if c.where:
             bad &= F.expr(c.where)
         value = F.col(c.key) if c.kind == "not_null" and c.key else col
-        return F.when(bad, F.struct(F.lit(c.name).alias("test"), value.cast("string").alias("value"), F.lit(c.kind == "unique").alias("keyed")))
+        return F.when(bad, F.struct(F.lit(no).alias("no"), value.cast("string").alias("value")))
 
-    found = df.select(F.explode_outer(F.array_compact(F.array(*[entry(c) for c in checks]))).alias("e")).where("e is not null").select("e.*")
-    return found.groupBy("test", "value", "keyed").agg(F.count(F.lit(1)).alias("n_records")).where("not keyed or n_records > 1").drop("keyed")
+    found = df.select(F.explode_outer(F.array_compact(F.array(*[entry(i, c) for i, c in enumerate(checks)]))).alias("e")).where("e is not null").select("e.*")
+    counted = found.groupBy("no", "value").agg(F.count(F.lit(1)).alias("n_records"))
+    keyed = [i for i, c in enumerate(checks) if c.kind == "unique"]
+    names = F.element_at(F.array(*[F.lit(c.name) for c in checks]), F.col("no") + 1)
+    return counted.where(~F.col("no").isin(keyed) | (F.col("n_records") > 1)).select(names.alias("test"), "value", "n_records")
 
 
 def test_tables(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Sequence[Check], root: str) -> DataFrame:
     """Every test with its failures and status; what failed is stored below ``root``/dq_failures.
 
-    A not_null test counts rows, the others count values.
+    A not_null test counts rows, the others count values.  One table is tested after the other, so
+    that only one table's keys are on disk.
     """
-    parts = [failures(tables[t], [c for c in checks if c.table == t]) for t in dict.fromkeys(c.table for c in checks)]
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.unionByName(p)
     path = f"{root.rstrip('/')}/dq_failures"
-    whole.write.mode("overwrite").partitionBy("test").parquet(path)
+    for i, t in enumerate(dict.fromkeys(c.table for c in checks)):
+        found = failures(tables[t], [c for c in checks if c.table == t])
+        with short_shuffles(spark):
+            found.write.mode("append" if i else "overwrite").partitionBy("test").parquet(path)
     stored = spark.read.schema("value string, n_records bigint, test string").parquet(path)
     by_rows = [c.name for c in checks if c.kind == "not_null"]
     counts = stored.groupBy("test").agg(F.when(F.col("test").isin(by_rows), F.sum("n_records")).otherwise(F.count(F.lit(1))).alias("failures"))

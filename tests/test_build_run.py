@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from gridsight.operators.location import resolve_countries
 from gridsight.plans import analytics, build_run
@@ -54,6 +54,20 @@ def test_ordered_models_are_sorted_from_what_is_written(spark, tmp_path, monkeyp
     assert [m.name for m in build_run.MODELS if m.order] == ["mart_leaderboard"]
 
 
+def test_tables_are_tested_one_after_the_other(spark, tmp_path, monkeypatch):
+    """A test travels as a number; what an earlier run stored goes, what the other tables store stays."""
+    modes, mode = [], DataFrameWriter.mode
+    monkeypatch.setattr(DataFrameWriter, "mode", lambda self, given: (modes.append(given) if given else None) or mode(self, given))
+    a, b = spark.createDataFrame([(1,), (1,), (2,)], "x int"), spark.createDataFrame([("u",), (None,)], "y string")
+    checks = [Check("a", "unique", "x"), Check("b", "not_null", "y"), Check("a", "between", "x", values=(0, 1)), Check("b", "unique", "y")]
+    for _ in range(2):
+        got = {r.test: r.failures for r in build_run.test_tables(spark, {"a": a, "b": b}, checks, str(tmp_path)).collect()}
+        assert got == {"unique_a_x": 1, "not_null_b_y": 1, "between_a_x": 1, "unique_b_y": 0}
+    assert modes == ["overwrite", "append"] * 2
+    dealt = [line for line in build_run.failures(a, checks[:1])._jdf.queryExecution().sparkPlan().toString().splitlines() if "HashAggregate" in line]
+    assert dealt and not any("unique_a_x" in line for line in dealt)
+
+
 def test_country_names(spark):
     names = {"France": "FR", "canada": "CA", " AUSTRALIA ": "AU", "USA": "US", "U.S.A.": "US", "UK": "GB", "United Kingdom": "GB", "the Netherlands": "NL", "IND": "IN", "de": "DE",
              "Hong Kong": "HK", "Côte d’Ivoire": "CI", "Trinidad and Tobago": "TT", "South Korea": "KR", "Atlantis": None, "": None, None: None}
