@@ -71,7 +71,7 @@ def best_per_key(df: DataFrame, keys: list[str], grade: Column, tie: str, part:
     rows = near.join(often, F.xxhash64("_part") == F.col("_often"), "left").withColumns({"_key": F.xxhash64(*keys), "_salt": salt})
     order = [F.desc("_grade"), F.asc(tie)]
     parts = first_per_key(rows.drop("_part", "_often").repartition("_key", "_salt"), ["_key", "_salt", *keys], order)
-    whole = first_per_key(parts.repartition("_key"), ["_key", *keys], order)
+    whole = first_per_key(parts, ["_key", *keys], order)
     return whole.where("_grade >= 0").drop("_key", "_salt", "_grade")
 
 
